@@ -1,0 +1 @@
+"""Intentionally empty: the workflow is batch only, every stage is an overwrite of a finished table."""
