@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from reviewlake.operators.placement import pin_small
+from reviewlake.operators.placement import pin_small, stage
 from reviewlake.operators.ranking import (
     hash_cutoffs,
     hashed_rows,
@@ -65,6 +67,39 @@ def draws(numbered: DataFrame, targets: DataFrame, seed: int | str) -> DataFrame
     return single.groupBy("_g", (bits % F.col("_n_c")).alias("_rn")).agg(F.count("*").alias("_times"))
 
 
+@dataclass(frozen=True)
+class Numbering:
+    """Row numbers within each class, counted once and shared by any number of draws."""
+
+    classes: DataFrame  # (_g, _n)
+    numbered: DataFrame  # (_g, _k, _rn)
+
+
+def number_classes(df: DataFrame, label: str, key: str, seed: int | str = 42) -> Numbering:
+    rows = hashed_rows(df, key, label, seed)
+    counted = prefix_counts(rows)
+    classes = pin_small(counted.groupBy("_g").agg(F.sum("_n").alias("_n")), "classes")
+    return Numbering(classes, stage(numbered_in_group(rows, counted), "numbered"))
+
+
+def _untouched(df: DataFrame, label: str, targets: DataFrame, name: str) -> DataFrame:
+    kept = pin_small(targets.where(~F.col("_target")).select(F.col("_g").alias("_whole")), "untouched")
+    rows = df.join(kept, F.col(label).eqNullSafe(F.col("_whole")), "left_semi")
+    return rows.withColumn(name, F.lit(1).cast("bigint"))
+
+
+def draw_sample(
+    df: DataFrame, label: str, key: str, numbering: Numbering, strategy: str, seed: int | str, name: str = "multiplicity"
+) -> DataFrame:
+    """Rows drawn with replacement, with how often each was drawn in ``name``."""
+    targets = _targets(numbering.classes, strategy)
+    drawn = draws(numbering.numbered, targets, seed).withColumnsRenamed({"_g": "_dg", "_rn": "_drn"})
+    hits = numbering.numbered.join(drawn, F.col("_g").eqNullSafe(F.col("_dg")) & (F.col("_rn") == F.col("_drn")))
+    hits = hits.select(F.col("_k").alias("_hit"), F.col("_times").alias(name))
+    sampled = df.join(hits, F.col(key) == F.col("_hit")).drop("_hit")
+    return sampled.unionByName(_untouched(df, label, targets, name))
+
+
 def undersample(
     df: DataFrame,
     label: str,
@@ -80,21 +115,11 @@ def undersample(
     carries how often it was drawn in ``multiplicity`` (1 for classes that are not resampled), which
     learners take as a weight; rows that were not drawn are absent. ``key`` must be unique.
     """
+    if replacement:
+        return draw_sample(df, label, key, number_classes(df, label, key, seed), strategy, seed, name)
     rows = hashed_rows(df, key, label, seed)
     counted = prefix_counts(rows)
     targets = _targets(counted, strategy)
-    kept = pin_small(targets.where(~F.col("_target")).select(F.col("_g").alias("_whole")), "untouched")
-    left_alone = F.col(label).eqNullSafe(F.col("_whole"))
-    whole = df.join(kept, left_alone, "left_semi").withColumn(name, F.lit(1).cast("bigint"))
-
-    if not replacement:
-        cutoffs = hash_cutoffs(rows, counted, targets.where("_target"))
-        chosen = within_cutoff(df, key, label, seed, cutoffs, "_in").where("_in").drop("_in")
-        return chosen.withColumn(name, F.lit(1).cast("bigint")).unionByName(whole)
-
-    numbered = numbered_in_group(rows, counted)
-    drawn = draws(numbered, targets, seed)
-    hits = numbered.withColumnsRenamed({"_g": "_ng", "_rn": "_nrn"})
-    hits = hits.join(drawn, F.col("_ng").eqNullSafe(F.col("_g")) & (F.col("_nrn") == F.col("_rn")))
-    hits = hits.select(F.col("_k").alias("_hit"), F.col("_times").alias(name))
-    return df.join(hits, F.col(key) == F.col("_hit")).drop("_hit").unionByName(whole)
+    cutoffs = hash_cutoffs(rows, counted, targets.where("_target"))
+    chosen = within_cutoff(df, key, label, seed, cutoffs, "_in").where("_in").drop("_in")
+    return chosen.withColumn(name, F.lit(1).cast("bigint")).unionByName(_untouched(df, label, targets, name))

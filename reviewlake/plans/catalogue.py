@@ -638,14 +638,13 @@ def identify_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(texts(spark, sf_dir, "conversations"), _language_model(spark, sf_dir), ["conv_id", "turn"])
 
 
-def _length_model():
-    """Stand-in for a model that is expensive to load and cannot be pickled."""
-    return lambda batch: "len" + batch.str.len().astype(str)
-
-
 @query("SELECT doc_id, 'len' || length(text) AS tag FROM documents")
 def apply_model_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.apply_model(texts(spark, sf_dir, "documents"), _length_model, "doc_id", "text", "tag")
+    def length_model():
+        """Stand-in for a model that is expensive to load and cannot be pickled."""
+        return lambda batch: "len" + batch.str.len().astype(str)
+
+    return language.apply_model(texts(spark, sf_dir, "documents"), length_model, "doc_id", "text", "tag")
 
 
 LEX_TOKENS = r"\p{N}+(?:[.,]\p{N}+)+|[\p{L}\p{M}\p{N}_]+|[^\p{Z}\p{C}\p{L}\p{M}\p{N}_]"
