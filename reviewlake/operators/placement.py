@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 PIN_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_KEYS = 10_000
 
 _local_folder: dict[str, str] = {}

@@ -13,7 +13,8 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from reviewlake.functions.text import shifted, word_tokens
-from reviewlake.operators.placement import as_list, colocate, lookup_join, pin_small, stage
+from reviewlake.operators.checks import CheckFailed
+from reviewlake.operators.placement import as_list, colocate, fits_broadcast, lookup_join, stage
 from reviewlake.operators.ranking import global_index
 
 
@@ -65,18 +66,25 @@ def prune(
     return kept
 
 
+def _extra_columns(vocabulary: DataFrame) -> list[str]:
+    return [c for c in vocabulary.columns if c not in ("term", "df", "total")]
+
+
+def _weighted(known: DataFrame, n_docs: int | Column, keys: list[str], extra: list[str]) -> DataFrame:
+    n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
+    raw = known.withColumn("_raw", F.col("tf") * (F.log((n + 1) / (F.col("df") + 1)) + 1))
+    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(W.partitionBy(*keys)))
+    return raw.select(*keys, "term", *extra, (F.col("_raw") / length).alias("value"))
+
+
 def tfidf(counted: DataFrame, vocabulary: DataFrame, n_docs: int | Column, key: str | list[str]) -> DataFrame:
     """(key..., term, value): ``tf * (ln((1 + n) / (1 + df)) + 1)``, each document scaled to length 1.
 
     ``vocabulary`` (term, df, ...) is a lookup table; its further columns are carried along.
     """
-    keys = as_list(key)
-    n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
-    table = vocabulary.withColumn("_idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
-    extra = [c for c in vocabulary.columns if c not in ("term", "df", "total")]
-    raw = lookup_join(counted, table, "term", hot_by="df").withColumn("_raw", F.col("tf") * F.col("_idf"))
-    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(W.partitionBy(*keys)))
-    return raw.select(*keys, "term", *extra, (F.col("_raw") / length).alias("value"))
+    extra = _extra_columns(vocabulary)
+    known = lookup_join(counted, vocabulary.select("term", "df", *extra), "term", hot_by="df")
+    return _weighted(known, n_docs, as_list(key), extra)
 
 
 @dataclass(frozen=True)
@@ -98,15 +106,34 @@ def fit_vocabulary(
     max_features: int | None = None,
     indexed: bool = False,
 ) -> Vocabulary:
-    """Count, prune and write the vocabulary once. ``indexed`` adds alphabetical positions ``idx``."""
-    n_docs = df.count()
+    """Count, prune and write the vocabulary once. ``indexed`` adds alphabetical positions ``idx``.
+
+    Raises when a key occurs twice: the rows would be counted as one document here and as two there.
+    """
+    per_key = df.groupBy(*as_list(key)).agg(F.count("*").alias("_copies"))
+    sizes = per_key.agg(F.count("*").alias("n"), F.max("_copies").alias("most")).first()
+    if (sizes["most"] or 0) > 1:
+        raise CheckFailed(f"a document key occurs {sizes['most']} times")
+    n_docs = sizes["n"]
     terms = prune(doc_freq(term_counts(df, key, text, ngram_range)), n_docs, min_df, max_df, max_features)
     terms = stage(vocabulary_index(terms) if indexed else terms, "vocabulary")
     return Vocabulary(terms, n_docs, ngram_range)
 
 
 def transform(df: DataFrame, key: str | list[str], text: str, fitted: Vocabulary) -> DataFrame:
-    return tfidf(term_counts(df, key, text, fitted.ngram_range), fitted.terms, fitted.n_docs, key)
+    """TF-IDF entries of ``df`` with a fitted vocabulary.
+
+    A vocabulary that may be broadcast drops unknown n-grams before they are counted; a bigger one
+    meets the counted terms.
+    """
+    keys = as_list(key)
+    extra = _extra_columns(fitted.terms)
+    wanted = fitted.terms.select("term", "df", *extra)
+    if not fits_broadcast(wanted):
+        return tfidf(term_counts(df, keys, text, fitted.ngram_range), fitted.terms, fitted.n_docs, keys)
+    known = ngrams(df, keys, text, fitted.ngram_range).join(F.broadcast(wanted), "term")
+    known = known.groupBy(*keys, "term", "df", *extra).agg(F.count("*").alias("tf"))
+    return _weighted(known, fitted.n_docs, keys, extra)
 
 
 def tfidf_vectorize(
@@ -179,13 +206,14 @@ def feature_vectors(
     return stage(to_vectors(entries, docs, key, size), "features")
 
 
-def top_terms(entries: DataFrame, groups: DataFrame, key: str, group: str, n: int = 10) -> DataFrame:
+def top_terms(entries: DataFrame, group: str, n: int = 10) -> DataFrame:
     """(group, rank, term, score): the ``n`` terms with the largest summed value per group.
 
-    ``groups`` maps the document key to its group. Scores are rounded before ranking so that ties are
-    broken by the term and not by the order of additions.
+    ``group`` is a column of ``entries``, carried along as part of the document key. Scores are rounded
+    before ranking so that ties are broken by the term and not by the order of additions. Spark drops
+    rows beyond rank ``n`` in every task before the shuffle, so a dominant group stays small.
     """
-    scored = entries.join(groups.select(key, group), key).groupBy(group, "term").agg(F.round(F.sum("value"), 6).alias("score"))
+    scored = entries.groupBy(group, "term").agg(F.round(F.sum("value"), 6).alias("score"))
     rank = F.row_number().over(W.partitionBy(group).orderBy(F.desc("score"), "term"))
     ranked = scored.withColumn("rank", rank).where(F.col("rank") <= n)
     return ranked.select(group, F.col("rank").cast("bigint").alias("rank"), "term", "score")

@@ -24,6 +24,7 @@ from reviewlake.operators import (
     vectorize,
 )
 from reviewlake.operators.placement import scratch_path, stage
+from reviewlake.plans import medallion
 from reviewlake.plans.driver_tables import derived_lexicon, product_docs, reviews, table, texts
 from reviewlake.sources import documents as docs_io
 from reviewlake.sources import sinks
@@ -119,8 +120,8 @@ SELECT language, rank, term, score FROM ranked WHERE rank <= 10
 def top_terms_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _reviews(spark, sf_dir)
     fitted = vectorize.fit_vocabulary(rows, "id", "text", NGRAM_RANGE)
-    entries = vectorize.transform(rows, "id", "text", fitted)
-    return vectorize.top_terms(entries, rows, "id", "language", n=10)
+    entries = vectorize.transform(rows, ["id", "language"], "text", fitted)
+    return vectorize.top_terms(entries, "language", n=10)
 
 
 @query(
@@ -907,6 +908,39 @@ def roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unwound.select("id", "brand_name", F.md5(F.col("text").cast("binary")).alias("text_hash"))
 
 
+# ---------------------------------------------------------------- all stages
+
+
+_LINE_REVIEWS = f"""
+{UNWOUND},
+lines_raw AS (
+  SELECT doc_id * 100000 + i AS id, CASE doc_id % 3 WHEN 0 THEN 'tv' WHEN 1 THEN 'phone' ELSE 'appliance' END AS category,
+         line AS text, array_to_string(string_split(line, ' ')[1:3], ' ') AS title,
+         CAST(length(line) % 5 + 1 AS INTEGER) AS rating FROM pairs)
+"""
+
+
+@query(
+    f"""
+WITH {_LINE_REVIEWS}, identified AS ({_identify_sql('id', 'lines_raw').strip()}),
+reviews AS (SELECT lines_raw.*, language FROM lines_raw JOIN identified USING (id) WHERE language IN ('en', 'de')),
+{LEXICON}, {WORDS}, {LEMMATISED}, {SPLIT}
+SELECT CAST(id AS INTEGER) AS id, category, language, rating, md5(lemmatized) AS lemma_hash, train_test, positive_review
+FROM gold JOIN silver USING (id)
+"""
+)
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = product_docs(texts(spark, sf_dir, "documents"))
+    raw = {}
+    for i, category in enumerate(("tv", "phone", "appliance")):
+        raw[category] = stage(medallion.raw(nested.where(F.col("doc_id") % 3 == i).drop("doc_id")), f"{category}_raw")
+    bronze = stage(medallion.bronze(raw, _language_model(spark, sf_dir)), "bronze")
+    lexicon = stage(derived_lexicon(texts(spark, sf_dir, "documents")), "lexicon")
+    silver = stage(medallion.silver(bronze, lexicon, ["en", "de"]), "silver")
+    lemma_hash = F.md5(F.col("lemmatized").cast("binary")).alias("lemma_hash")
+    return medallion.gold(silver).select("id", "category", "language", "rating", lemma_hash, "train_test", "positive_review")
+
+
 # ---------------------------------------------------------------- balance and evaluation
 
 
