@@ -49,6 +49,6 @@ def binned_histogram(df: DataFrame, column: str, bins: int = 10, by: str | list[
     lo: Column = bounds.select("lo").scalar()
     hi: Column = bounds.select("hi").scalar()
     spaced = df.where(F.col(column).isNotNull()).withColumn("_lo", lo).withColumn("_w", (hi - lo) / F.lit(bins))
-    raw = F.floor((F.col(column) - F.col("_lo")) / F.nullif(F.col("_w"), F.lit(0.0)))
-    number = F.coalesce(F.least(raw, F.lit(bins - 1)), F.lit(bins // 2)).cast("bigint")
-    return spaced.groupBy(number.alias("bin"), *as_list(by)).agg(F.count("*").alias("count"))
+    place = F.floor((F.col(column) - F.col("_lo")) / F.nullif(F.col("_w"), F.lit(0.0)))
+    number = F.when(F.col("_w") == 0, F.lit(bins // 2)).otherwise(F.least(place, F.lit(bins - 1)))
+    return spaced.groupBy(number.cast("bigint").alias("bin"), *as_list(by)).agg(F.count("*").alias("count"))
