@@ -54,4 +54,5 @@ def paging(pages: DataFrame, doc: str = "doc") -> DataFrame:
 
 def further_pages(pages: DataFrame, url: str = "url", count: str = "pages") -> DataFrame:
     """(url, page_url): one row for each of pages 2..n, built from the URL without its fragment."""
-    return pages.select(strip_fragment(url).alias("url"), F.explode(extra_page_urls(url, count)).alias("page_url"))
+    stripped = pages.select(strip_fragment(url).alias("url"), F.col(count).alias("_pages"))
+    return stripped.select("url", F.explode(extra_page_urls("url", "_pages")).alias("page_url"))
