@@ -47,6 +47,24 @@ def doc_freq(counted: DataFrame) -> DataFrame:
     return counted.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
 
 
+def row_doc_freq(df: DataFrame, text: str, ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
+    """(term, df) when every row of ``df`` is one document.
+
+    Each row lists its distinct n-grams itself, so only partial counts per term are shuffled: neither
+    the text nor (document, term) pairs move. Longer n-grams extend the shorter ones word by word,
+    which is linear in the text; a window past the last word is NULL.
+    """
+    lo, hi = ngram_range
+    extend = lambda gram, word: F.concat(gram, F.lit(" "), word)
+    rows = df.select(word_tokens(text).alias("g1"))
+    for n in range(2, hi + 1):
+        following = F.slice("g1", n, F.greatest(F.size("g1"), F.lit(1)))
+        rows = rows.withColumn(f"g{n}", F.zip_with(f"g{n - 1}", following, extend))
+    distinct = F.array_distinct(F.flatten(F.array(*[F.col(f"g{n}") for n in range(lo, hi + 1)])))
+    terms = rows.select(F.explode(distinct).alias("term")).where(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
+
+
 def prune(
     frequencies: DataFrame,
     n_docs: int | Column,
@@ -89,7 +107,7 @@ def tfidf(counted: DataFrame, vocabulary: DataFrame, n_docs: int | Column, key:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A fitted vectoriser: its terms (term, df, total[, idx]) and the number of documents it saw."""
+    """A fitted vectoriser: its terms (term, df[, total][, idx]) and the number of documents it saw."""
 
     terms: DataFrame
     n_docs: int
@@ -115,7 +133,11 @@ def fit_vocabulary(
     if (sizes["most"] or 0) > 1:
         raise CheckFailed(f"a document key occurs {sizes['most']} times")
     n_docs = sizes["n"]
-    terms = prune(doc_freq(term_counts(df, key, text, ngram_range)), n_docs, min_df, max_df, max_features)
+    if max_features is None:
+        frequencies = row_doc_freq(df, text, ngram_range)
+    else:
+        frequencies = doc_freq(term_counts(df, key, text, ngram_range))
+    terms = prune(frequencies, n_docs, min_df, max_df, max_features)
     terms = stage(vocabulary_index(terms) if indexed else terms, "vocabulary")
     return Vocabulary(terms, n_docs, ngram_range)
 

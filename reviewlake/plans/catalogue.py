@@ -47,6 +47,10 @@ def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reviews(table(spark, sf_dir, "documents"))
 
 
+def _review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reviews(texts(spark, sf_dir, "documents"))
+
+
 REVIEWS = """
 reviews AS (
   SELECT doc_id AS id, text, split_part(text, chr(10), 1) AS title, upper(source) AS brand_name,
@@ -118,7 +122,7 @@ SELECT language, rank, term, score FROM ranked WHERE rank <= 10
 """
 )
 def top_terms_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _reviews(spark, sf_dir)
+    rows = _review_texts(spark, sf_dir)
     fitted = vectorize.fit_vocabulary(rows, "id", "text", NGRAM_RANGE)
     entries = vectorize.transform(rows, ["id", "language"], "text", fitted)
     return vectorize.top_terms(entries, "language", n=10)
@@ -133,7 +137,7 @@ FROM ng GROUP BY id, n
 """
 )
 def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grams = vectorize.ngrams(_reviews(spark, sf_dir), "id", "text", NGRAM_RANGE)
+    grams = vectorize.ngrams(_review_texts(spark, sf_dir), "id", "text", NGRAM_RANGE)
     return grams.groupBy("id", F.col("n").cast("bigint").alias("n")).agg(
         F.count("*").alias("grams"),
         F.count_distinct("term").alias("different"),
@@ -145,20 +149,20 @@ def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {DOC_BODY}, {_ngram_ctes('src', 1, 2)} SELECT id, term, tf FROM tc")
 def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectorize.term_counts(_reviews(spark, sf_dir), "id", "text", (1, 2))
+    return vectorize.term_counts(_review_texts(spark, sf_dir), "id", "text", (1, 2))
 
 
 @query(f"WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB} SELECT term, df, total FROM freq WHERE df > 1")
 def doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = vectorize.term_counts(_reviews(spark, sf_dir), "id", "text", NGRAM_RANGE)
+    counted = vectorize.term_counts(_review_texts(spark, sf_dir), "id", "text", NGRAM_RANGE)
     return vectorize.doc_freq(counted).where(F.col("df") > 1)
 
 
 @query(f"WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB} SELECT term, df, total FROM vocab")
 def prune_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _reviews(spark, sf_dir)
+    rows = _review_texts(spark, sf_dir)
     counted = vectorize.term_counts(rows, "id", "text", NGRAM_RANGE)
-    n_docs = rows.agg(F.count("*")).scalar()
+    n_docs = _reviews(spark, sf_dir).agg(F.count("*")).scalar()
     return vectorize.prune(vectorize.doc_freq(counted), n_docs)
 
 
@@ -169,7 +173,7 @@ SELECT term, df, total FROM vocab ORDER BY total DESC, term LIMIT 500
 """
 )
 def vocabulary_max_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _reviews(spark, sf_dir)
+    rows = _review_texts(spark, sf_dir)
     counted = vectorize.term_counts(rows, "id", "text", (1, 2))
     return vectorize.prune(vectorize.doc_freq(counted), rows.count(), max_features=500)
 
@@ -181,15 +185,14 @@ SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM vocab
 """
 )
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _reviews(spark, sf_dir)
-    counted = vectorize.term_counts(rows, "id", "text", NGRAM_RANGE)
-    terms = vectorize.prune(vectorize.doc_freq(counted), rows.count())
+    rows = _review_texts(spark, sf_dir)
+    terms = vectorize.prune(vectorize.row_doc_freq(rows, "text", NGRAM_RANGE), rows.count())
     return vectorize.vocabulary_index(terms).select("term", "idx")
 
 
 @query(f"WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB}, {TFIDF} SELECT id, term, round(value, 6) AS value FROM tfidf")
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _reviews(spark, sf_dir)
+    rows = _review_texts(spark, sf_dir)
     counted = vectorize.term_counts(rows, "id", "text", NGRAM_RANGE)
     n_docs = rows.count()
     kept = stage(vectorize.prune(vectorize.doc_freq(counted), n_docs), "vocabulary")
@@ -207,7 +210,7 @@ SELECT id, term, round(value, 6) AS value FROM tfidf
 """
 )
 def tfidf_vectorize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = split.stratified(_reviews(spark, sf_dir))
+    labelled = split.stratified(_review_texts(spark, sf_dir))
     body = labelled.select("id", "train_test", tx.title_and_text("title", "text").alias("body"))
     entries = vectorize.tfidf_vectorize(body, "id", "body", NGRAM_RANGE, fit_on="train")
     return entries.withColumn("value", F.round("value", 6))
@@ -227,7 +230,7 @@ FROM src LEFT JOIN cells USING (id)
 """
 )
 def sparse_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _reviews(spark, sf_dir)
+    rows = _review_texts(spark, sf_dir)
     fitted = vectorize.fit_vocabulary(rows, "id", "text", NGRAM_RANGE, indexed=True)
     entries = vectorize.transform(rows, "id", "text", fitted)
     vectors = vectorize.to_vectors(entries, rows.select("id"), "id", fitted.terms.count())

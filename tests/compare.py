@@ -40,7 +40,7 @@ def _rows(table) -> tuple[list[str], Counter]:
 def differences(df, sql: str, con) -> str | None:
     """None when equal, else a short description."""
     left_names, left = _rows(df.toArrow())
-    right_names, right = _rows(con.execute(sql).to_arrow_table())
+    right_names, right = _rows(con.sql(sql).to_arrow_table())
     if left_names != right_names:
         return f"columns {left_names} != {right_names}"
     if left != right:

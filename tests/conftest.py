@@ -12,7 +12,7 @@ from reviewlake.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     os.chdir(tmp_path_factory.mktemp("session"))
-    session = local_session(8, memory="6g")
+    session = local_session(8, partitions=4, memory="6g")
     yield session
     session.stop()
 
