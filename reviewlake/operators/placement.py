@@ -3,8 +3,8 @@
 Nothing here is specific to reviews. The rules the other operators rely on:
 
 * a side is broadcast only after its rows and bytes were counted;
-* a table that does not fit is joined by shuffle, with the hottest keys taken out first, so no task
-  receives more than ``1 / hot_keys`` of the rows through one key;
+* a table that does not fit is joined by shuffle, after the keys that would fill a good part of a
+  partition by themselves were taken out;
 * an intermediate result that several jobs need is written to the shared checkpoint folder, so a lost
   executor never costs more than reading that folder again.
 """
@@ -14,11 +14,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 PIN_ROWS = 100_000
 BROADCAST_BYTES = 256 * 1024 * 1024
-HOT_KEYS = 10_000
 
 _local_folder: dict[str, str] = {}
 
@@ -109,6 +108,24 @@ def pin_small(df: DataFrame, label: str, max_rows: int = PIN_ROWS, max_bytes: in
     return stage(df, label)
 
 
+def _hot_keys(frequency: DataFrame, share: float) -> DataFrame | None:
+    """Keys of ``frequency`` (keys..., _n) that fill at least ``share`` of an average shuffle partition.
+
+    There are at most ``partitions / share`` of them, which bounds what comes to the driver. The total
+    is observed in the same job that finds the largest counts.
+    """
+    spark = frequency.sparkSession
+    partitions = shuffle_width(spark)
+    seen = Observation()
+    counted = frequency.observe(seen, F.sum("_n").alias("total"))
+    head = counted.orderBy(F.desc("_n")).limit(int(partitions / share) + 1).toArrow()
+    least = share * (seen.get["total"] or 0) / partitions
+    head = head.filter([n >= least for n in head.column("_n").to_pylist()]).drop_columns(["_n"])
+    if head.num_rows == 0:
+        return None
+    return F.broadcast(spark.createDataFrame(head, schema=frequency.drop("_n").schema))
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -116,33 +133,37 @@ def lookup_join(
     how: str = "inner",
     hot_by: str | None = None,
     max_bytes: int = BROADCAST_BYTES,
-    hot_keys: int = HOT_KEYS,
+    hot_share: float = 0.5,
 ) -> DataFrame:
-    """Join a big table with a lookup table that holds few rows per key (``how``: inner or left).
+    """Join a table with a lookup table that holds few rows per key (``how``: inner or left).
 
-    A lookup whose counted size is below ``max_bytes`` is broadcast. Otherwise the ``hot_keys`` most
-    frequent keys, found from ``hot_by`` (a frequency column of ``small``) or by counting ``big``, are
-    served from a broadcast slice and the remaining rows by a shuffle join. Together the two parts
-    cover every row; rows with a NULL key go with the first part, since they match nothing.
+    A lookup whose counted size is below ``max_bytes`` is broadcast. Otherwise keys that would fill a
+    good part of a shuffle partition, found from ``hot_by`` (a frequency column of ``small``) or by
+    counting ``big``, are served from a broadcast slice, and all other rows by a shuffle join. The two
+    parts cover every row; rows with a NULL key match nothing and go with the first part. Without such
+    keys it is one plain shuffle join. ``small`` is read several times, so stage it first.
     """
     keys = as_list(on)
     if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), keys, how)
 
     if hot_by:
-        ranked = small.orderBy(F.desc(hot_by), *keys)
+        frequency = small.groupBy(*keys).agg(F.max(hot_by).alias("_n"))
     else:
         frequency = big.groupBy(*keys).agg(F.count("*").alias("_n"))
-        ranked = frequency.orderBy(F.desc("_n"), *keys)
-    hot = ranked.limit(hot_keys).select(*keys).distinct()
-    hot = pin_small(hot, "hot_keys", max_rows=hot_keys)
-    hot_slice = pin_small(small.join(hot, keys, "left_semi"), "hot_slice", max_rows=4 * hot_keys)
+    hot = _hot_keys(frequency, hot_share)
+    if hot is None and (how == "inner" or hot_by is None):
+        return big.join(small, keys, how)
 
-    flagged = big.join(hot.withColumn("_hot", F.lit(True)), keys, "left")
-    any_null = F.lit(False)
+    null_key = F.lit(False)
     for key in keys:
-        any_null = any_null | F.col(key).isNull()
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False)) | any_null
+        null_key = null_key | F.col(key).isNull()
+    if hot is None:
+        flagged, is_hot, hot_slice = big, null_key, small.limit(0)
+    else:
+        flagged = big.join(hot.withColumn("_hot", F.lit(True)), keys, "left")
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False)) | null_key
+        hot_slice = pin_small(small.join(hot, keys, "left_semi"), "hot_slice")
     first = flagged.where(is_hot).drop("_hot").join(hot_slice, keys, how)
     rest = flagged.where(~is_hot).drop("_hot").join(small, keys, how)
     return first.unionByName(rest)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from reviewlake.operators.placement import as_list
+from reviewlake.operators.placement import as_list, lookup_join, stage
 from reviewlake.operators.ranking import hash_cutoffs, hashed_rows, prefix_counts, within_cutoff
 
 
@@ -51,9 +51,9 @@ def stratified(
 
 
 def label_membership(df: DataFrame, train_keys: DataFrame, key: str = "id", name: str = "train_test") -> DataFrame:
-    """``train`` when the key is in ``train_keys``, else ``test``: a left join, not a literal list."""
-    members = train_keys.select(key).distinct().withColumn("_member", F.lit(True))
-    joined = df.join(members, key, "left")
+    """``train`` when the key is in ``train_keys``, else ``test``: a lookup join, not a literal list."""
+    members = stage(train_keys.select(key).distinct().withColumn("_member", F.lit(True)), "members")
+    joined = lookup_join(df, members, key, "left")
     return joined.withColumn(name, F.when(F.col("_member"), "train").otherwise("test")).drop("_member")
 
 

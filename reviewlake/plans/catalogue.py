@@ -567,7 +567,7 @@ FROM documents JOIN labels USING (doc_id)
 )
 def attach_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("bigint").alias("quality"))
-    return keyed.attach(_reviews(spark, sf_dir).select("id", "language"), features)
+    return keyed.attach(_reviews(spark, sf_dir).select("id", "language"), features, computed=False)
 
 
 @query(
@@ -577,7 +577,7 @@ SELECT (SELECT count(*) FROM documents JOIN labels USING (doc_id)) AS joined, (S
 )
 def attach_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
-    joined = keyed.attach(_reviews(spark, sf_dir), features)
+    joined = keyed.attach(_reviews(spark, sf_dir), features, computed=False)
     checks.cardinality(joined, features)
     return joined.agg(F.count("*").alias("joined"), features.agg(F.count("*")).scalar().alias("features"))
 
@@ -1141,7 +1141,7 @@ def best_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _feature_rows(spark: SparkSession, sf_dir: str, max_features: int | None = None) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
-    rows = keyed.attach(_reviews(spark, sf_dir).select("id", "text"), labels)
+    rows = keyed.attach(_reviews(spark, sf_dir).select("id", "text"), labels, computed=False)
     rows = stage(split.stratified(rows, "id", "quality"), "labelled")
     return vectorize.feature_vectors(rows, "id", "text", "quality", max_features=max_features)
 

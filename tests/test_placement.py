@@ -21,11 +21,27 @@ def _lookup(spark):
 def test_lookup_join_without_broadcast_gives_the_same_rows(spark, how, hot_by):
     big, small = _skewed(spark), _lookup(spark)
     plain = big.join(small, "key", how)
-    split = placement.lookup_join(big, small, "key", how, hot_by=hot_by, max_bytes=0, hot_keys=5)
+    split = placement.lookup_join(big, small, "key", how, hot_by=hot_by, max_bytes=0)
     order = ["id", "key", "value"]
     assert sorted(map(str, split.select(order).collect())) == sorted(map(str, plain.select(order).collect()))
 
 
+def test_lookup_join_takes_out_only_dominant_keys(spark):
+    frequency = _skewed(spark).groupBy("key").agg(F.count("*").alias("_n"))
+    assert [r["key"] for r in placement._hot_keys(frequency, 0.5).collect()] == ["hot"]
+    even = spark.range(5_000).select(F.col("id").alias("key"), F.lit(1).cast("bigint").alias("_n"))
+    assert placement._hot_keys(even, 0.5) is None
+    big, small = spark.range(500), spark.range(0, 500, 2)
+    assert placement.lookup_join(big, small, "id", "left", max_bytes=0).count() == 500
+
+
+def test_null_keys_of_a_left_lookup_survive(spark):
+    big = spark.range(300).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("key"))
+    small = spark.range(300).select(F.col("id").alias("key"), F.lit(1).alias("n"))
+    got = placement.lookup_join(big, small, "key", "left", hot_by="n", max_bytes=0)
+    assert got.count() == 300 and got.where("n is null").count() == 100
+
+
 def test_pin_small_stages_what_is_too_big(spark):
     rows = spark.range(100)
     assert sorted(r["id"] for r in placement.pin_small(rows, "t", max_rows=10).collect()) == list(range(100))
@@ -60,7 +76,7 @@ def test_tfidf_is_the_same_with_and_without_broadcast(spark, monkeypatch):
     fitted = vectorize.fit_vocabulary(docs, "id", "text", (1, 3), min_df=1, max_df=1.0)
     fast = {(r["id"], r["term"]): round(r["value"], 9) for r in vectorize.transform(docs, "id", "text", fitted).collect()}
     counted = vectorize.term_counts(docs, "id", "text", (1, 3))
-    joined = placement.lookup_join(counted, fitted.terms, "term", hot_by="df", max_bytes=0, hot_keys=2)
+    joined = placement.lookup_join(counted, fitted.terms, "term", hot_by="df", max_bytes=0)
     assert joined.count() == len(fast)
     monkeypatch.setattr(vectorize, "fits_broadcast", lambda df: False)
     monkeypatch.setattr(placement, "fits_broadcast", lambda df, max_bytes=0: False)
