@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from reviewlake.operators.placement import as_list, lookup_join, stage
+from reviewlake.operators.placement import lookup_join, stage
 from reviewlake.operators.ranking import hash_cutoffs, hashed_rows, prefix_counts, within_cutoff
 
 
@@ -65,7 +65,3 @@ def binary_label(df: DataFrame, column: str = "rating", threshold: int = 4, name
 def parts(df: DataFrame, name: str = "train_test") -> tuple[DataFrame, DataFrame]:
     """(train rows, test rows)."""
     return df.where(F.col(name) == "train"), df.where(F.col(name) == "test")
-
-
-def keep_columns(df: DataFrame, columns: str | list[str]) -> DataFrame:
-    return df.select(*as_list(columns))

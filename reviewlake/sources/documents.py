@@ -48,9 +48,6 @@ PRODUCT_DOC = T.StructType(
     ]
 )
 
-# Columns that a JSON page may carry in any shape are read as text by the JSON reader.
-RAW_REVIEW_COLUMNS = ("id", "product_id", "brand_name", "product_name", "text", "title", "rating", "reviewerAge")
-
 
 def limit_documents(docs: DataFrame, limit: int | None, order_by: str | list[str] | None = None) -> DataFrame:
     """The first ``limit`` product documents (not reviews); ordered when columns are given."""
