@@ -15,11 +15,11 @@ class Settings:
     """``alpha``, ``beta``: step size per coordinate; ``l1``, ``l2``: penalties; ``parts``: models that are averaged."""
 
     dimensions: int = 1 << 18
-    alpha: float = 0.3
+    alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 0.3
-    l2: float = 0.5
-    passes: int = 3
+    l1: float = 0.05
+    l2: float = 0.05
+    passes: int = 5
     parts: int = 4
 
 

@@ -15,7 +15,7 @@ from reviewlake.llm.texts import ship_package, slices, text_column
 from reviewlake.operators.placement import stage
 
 #: Documented bound on the labelled rows the chain is trained on.
-MOST_TRAINING_ROWS = 16_000
+MOST_TRAINING_ROWS = 12_000
 FOLDS = 3
 #: Weak labels of the categories before the last: a toxic row with one of these words. A parameter.
 SEEDS = {
@@ -27,7 +27,7 @@ WORDS = re.compile(r"\w+")
 #: Words are seen whole and by their beginnings, so that inflected forms share evidence.
 BEGINNINGS = (4, 5, 6)
 REMEMBERED = 200_000
-SETTINGS = Settings(alpha=0.2, l1=0.6, l2=0.5, passes=3, parts=4)
+SETTINGS = Settings(alpha=1.0, l1=2.0, l2=0.01, passes=6, parts=2)
 
 
 class WordPresence:
