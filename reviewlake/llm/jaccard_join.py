@@ -3,9 +3,9 @@
 Two ideas carry the join. Lists of an inverted index are cut into blocks of one set size and ordered by
 the position of the shingle in its set, so that the size bound skips whole blocks and the position bound
 skips the rest of a block. And sets that are equal or highly similar to one already answered get
-their answer from it: equal sets are one class; in a long list every class is first compared with a few
-leaders only, and what is linked to the same leaders needs no further comparison, nor do pairs for which
-the overlaps with a leader already prove that they cannot be similar.
+their answer from it: equal sets are one class; in a long list every class is first compared with the few
+most central ones, and what these connect needs no further comparison, nor do pairs for which the
+overlaps with one of them already prove that they cannot be similar.
 
 Order of shingles, the same in all sets: shingles of a fixed low part of the hash space by hash,
 frequent ones of that part behind them, then all others by hash. Every shingle that can reach a prefix is
@@ -22,14 +22,15 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from reviewlake.llm.components import components
-from reviewlake.llm.texts import long_column, shingle_set, ship_package, slices, small_join, text_column
+from reviewlake.llm.texts import long_column, shingle_sets, ship_package, slices, small_join, text_column
 from reviewlake.operators.placement import stage
 
 #: Part of the hash space whose shingles are counted and come first.
-LOW_PART = 0.3
-LOW_BOUND = np.uint64(int(LOW_PART * 2**64))
+LOW_PART = 0.25
 #: Lists of as many classes are long; at most so many frequent shingles are told to every task.
 LONG_LIST, MOST_FREQUENT = 32, 500_000
+#: Sets that each long list is compared with first.
+LEADERS = 2
 #: Classes a task remembers in order not to send a copy's shingles again.
 REMEMBERED = 500_000
 
@@ -43,7 +44,11 @@ def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
     return size - least_overlap(size, percent) + 1
 
 
-def _fingerprint(n: int, percent: int):
+def _bound(low_part: float) -> np.uint64:
+    return np.uint64(min(int(low_part * 2**64), 2**64 - 1))
+
+
+def _fingerprint(n: int, percent: int, low_part: float):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("shingles", pa.list_(pa.int64()))]
     )
@@ -52,8 +57,7 @@ def _fingerprint(n: int, percent: int):
         seen: set[int] = set()
         for batch in slices(batches, "text", 8 << 20):
             sizes, classes, kept = [], [], []
-            for doc_id, text in zip(text_column(batch, "doc_id"), text_column(batch, "text")):
-                found = shingle_set(text, n)
+            for doc_id, found in zip(text_column(batch, "doc_id"), shingle_sets(text_column(batch, "text"), n)):
                 cls = xxhash.xxh3_64_intdigest(found.tobytes()) if len(found) else 0
                 sizes.append(len(found))
                 classes.append(cls)
@@ -63,7 +67,7 @@ def _fingerprint(n: int, percent: int):
                 if len(seen) >= REMEMBERED:
                     seen.clear()
                 seen.add(cls)
-                count = max(int(np.searchsorted(found, LOW_BOUND)), int(prefix_length(len(found), percent)))
+                count = max(int(np.searchsorted(found, _bound(low_part), side="right")), int(prefix_length(len(found), percent)))
                 kept.append(found[:count].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -78,7 +82,7 @@ def _fingerprint(n: int, percent: int):
     return run
 
 
-def _prefixes(percent: int, frequent):
+def _prefixes(percent: int, low_part: float, frequent):
     """Entries (shingle, cls, size, pos, frequent) of each set's prefix in the common order."""
     schema = pa.schema(
         [("shingle", pa.int64()), ("cls", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("frequent", pa.bool_())]
@@ -99,8 +103,9 @@ def _prefixes(percent: int, frequent):
             at = np.minimum(np.searchsorted(known, shingles), max(len(known) - 1, 0))
             often = known[at] == shingles if len(known) else np.zeros(len(shingles), bool)
             rank = np.where(often, weight[at], 0) if len(known) else np.zeros(len(shingles), np.int64)
-            low = shingles < LOW_BOUND
-            order = np.lexsort((shingles, np.where(low, rank, 0), ~low, row))
+            low = shingles <= _bound(low_part)
+            # inside a row the shingles are sorted by hash already, low ones first: a stable sort keeps that
+            order = np.argsort(row * 128 + np.where(low, rank, 127), kind="stable")
             pos = np.arange(len(shingles)) - np.repeat(np.cumsum(counts) - counts, counts)
             take = pos < prefix_length(size, percent)[row]
             order, row, pos = order[take], row[take], pos[take]
@@ -156,6 +161,30 @@ def _list_pairs(cls, size, pos, percent, other=None):
     return np.concatenate(left), np.concatenate(right)
 
 
+def _short_pairs(data, percent, by_component):
+    """The same pairs for many short lists at once: entry i meets the entries behind it, step by step.
+
+    Entries are sorted by list, size, position, so an entry stops at its list's end or its size bound.
+    """
+    shingle, cls, size, pos = data[:4]
+    left, right = [], []
+    at, step = np.arange(len(shingle)), 0
+    while len(at):
+        step += 1
+        at = at[at + step < len(shingle)]
+        other = at + step
+        near = (shingle[at] == shingle[other]) & (100 * size[at].astype(np.int64) >= percent * size[other].astype(np.int64))
+        at, other = at[near], other[near]
+        n, m = size[at].astype(np.int64), size[other].astype(np.int64)
+        need = -(-percent * (n + m) // (100 + percent))
+        good = (n - pos[at] >= need) & (m - pos[other] >= need) & (cls[at] != cls[other])
+        if by_component:
+            good &= data[4][at] != data[4][other]
+        left.append(at[good])
+        right.append(other[good])
+    return (np.concatenate(left), np.concatenate(right)) if left else (at, at)
+
+
 def _pair_batch(cls, size, left, right) -> pa.RecordBatch:
     swap = cls[left] > cls[right]
     left, right = np.where(swap, right, left), np.where(swap, left, right)
@@ -169,12 +198,15 @@ def _pairs_of_lists(percent: int, by_component: bool):
     names = ["shingle", "cls", "size", "pos", *(["component"] if by_component else [])]
 
     def emit(data):
-        shingle, cls, size, pos = data[:4]
-        bounds = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1], True])
-        for start, stop in zip(bounds[:-1], bounds[1:]):
-            if stop - start < 2:
-                continue
-            part = [x[start:stop] for x in data]
+        bounds = np.flatnonzero(np.r_[True, data[0][1:] != data[0][:-1], True])
+        lengths = np.diff(bounds)
+        short = np.repeat((lengths > 1) & (lengths <= LONG_LIST), lengths)
+        left, right = _short_pairs([x[short] for x in data], percent, by_component)
+        cls, size = data[1][short], data[2][short]
+        if len(left):
+            yield _pair_batch(cls, size, left, right)
+        for k in np.flatnonzero(lengths > LONG_LIST):
+            part = [x[bounds[k] : bounds[k + 1]] for x in data]
             fresh = np.r_[True, (part[1][1:] != part[1][:-1]) | (part[2][1:] != part[2][:-1])]
             part = [x[fresh] for x in part]
             left, right = _list_pairs(part[1], part[2], part[3], percent, part[4] if by_component else None)
@@ -204,7 +236,7 @@ def _sets(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
-            found = [shingle_set(text, n) for text in text_column(batch, "text")]
+            found = shingle_sets(text_column(batch, "text"), n)
             classes = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in found], np.uint64).view(np.int64)
             sizes = np.array([len(x) for x in found], np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -248,7 +280,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, documents: DataFrame, n: int,
     return stage(both.select(*columns).mapInArrow(_overlaps, PAIRS + ", overlap int"), f"{label}_overlaps")
 
 
-def _frequent(entries: DataFrame):
+def _frequent(entries: DataFrame, label: str):
     """The most frequent shingles with the log of their count, sorted, as numpy; never more than ``MOST_FREQUENT``.
 
     Counts are exact, over all documents. The count from which a shingle is frequent rises until the
@@ -256,7 +288,7 @@ def _frequent(entries: DataFrame):
     """
     counted = stage(
         entries.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where(f"n >= {LONG_LIST}"),
-        "frequent",
+        f"{label}_frequent",
     )
     level = F.floor(F.log2("n")).cast("int")
     levels = counted.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
@@ -272,6 +304,27 @@ def _frequent(entries: DataFrame):
     return entries.sparkSession.sparkContext.broadcast((shingles[order], table.column("level").to_numpy()[order]))
 
 
+def _fingerprints(texts: DataFrame, percent: int, n: int, low_part: float, label: str) -> DataFrame:
+    schema = "doc_id long, n_shingles long, cls long, shingles array<long>"
+    return stage(texts.mapInArrow(_fingerprint(n, percent, low_part), schema), label)
+
+
+def _entries(made: DataFrame, percent: int, low_part: float, label: str) -> tuple[DataFrame, DataFrame]:
+    """Index entries of all prefixes: those of short lists, and those of long lists, staged."""
+    indexed = made.where("shingles IS NOT NULL AND doc_id IS NOT NULL").select("n_shingles", "cls", "shingles")
+    frequent = _frequent(indexed, label)
+    schema = "shingle long, cls long, size int, pos int, frequent boolean"
+    entries = indexed.mapInArrow(_prefixes(percent, low_part, frequent), schema)
+    long_lists = stage(entries.where("frequent").drop("frequent").distinct(), f"{label}_long_lists")
+    return entries.where("NOT frequent").drop("frequent"), long_lists
+
+
+def _pairs_in_lists(entries: DataFrame, percent: int, by_component: bool) -> DataFrame:
+    columns = ["shingle", "cls", "size", "pos", *(["component"] if by_component else [])]
+    sorted_lists = entries.select(*columns).repartition("shingle").sortWithinPartitions("shingle", "size", "pos", "cls")
+    return sorted_lists.mapInArrow(_pairs_of_lists(percent, by_component), PAIRS)
+
+
 def link_classes(documents: DataFrame, percent: int = 85, n: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The join itself: (documents with class, classes, links between classes).
 
@@ -279,81 +332,81 @@ def link_classes(documents: DataFrame, percent: int = 85, n: int = 4) -> tuple[D
     (doc_id, n_shingles, cls), one row per document; (cls, size, rep, copies), one row per distinct set;
     (a_cls, a_size, b_cls, b_size, overlap), links that connect exactly the sets that all similar pairs
     connect. A class is known by 64 bits of its set's hash and the set's size.
+
+    First pass: all sets, short lists. A similar pair whose first common shingle has a long list has both
+    its sets among the few that enter long lists. Second pass: these sets alone, with all their
+    shingles counted, so that what a set has for itself comes first and its place in a long list tells
+    how far it is from the others. Long lists then meet their most central sets, and what that leaves
+    unconnected is compared pair by pair.
     """
     ship_package(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = texts.mapInArrow(_fingerprint(n, percent), "doc_id long, n_shingles long, cls long, shingles array<long>")
-    made = stage(made, "fingerprints")
+    made = _fingerprints(texts, percent, n, LOW_PART, "fingerprints")
     classes = stage(
         made.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("cls", F.col("n_shingles").cast("int").alias("size"))
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")),
         "classes",
     )
-    indexed = made.where("shingles IS NOT NULL AND doc_id IS NOT NULL").select("n_shingles", "cls", "shingles")
-    frequent = _frequent(indexed)
-    entries = indexed.mapInArrow(
-        _prefixes(percent, frequent), "shingle long, cls long, size int, pos int, frequent boolean"
-    )
+    similar = F.expr(f"100 * overlap >= {percent} * (a_size + b_size - overlap)")
+    short, long_lists = _entries(made, percent, LOW_PART, "all")
+    near = stage(_pairs_in_lists(short, percent, False).distinct(), "candidates")
+    links = _verify(near, classes, texts, n, "first").where(similar)
+    if not long_lists.isEmpty():
+        members = long_lists.select("cls", "size").distinct()
+        ids = stage(classes.join(members, ["cls", "size"], "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "frequented")
+        again = small_join(texts, ids, ["doc_id"], "left_semi")
+        links = links.unionByName(_link_long_lists(again, classes, texts, near, links, percent, n, similar))
+    return made.select("doc_id", "n_shingles", "cls"), classes, links
 
-    short = entries.where("NOT frequent").select("shingle", "cls", "size", "pos").repartition("shingle")
-    near = short.sortWithinPartitions("shingle", "size", "pos", "cls").mapInArrow(_pairs_of_lists(percent, False), PAIRS)
 
-    long_lists = stage(entries.where("frequent").drop("frequent").distinct(), "long_lists")
-    ordered = F.struct(F.xxhash64("cls").alias("h"), "cls", "size")
-    leaders = long_lists.groupBy("shingle").agg(F.min(ordered).alias("first"), F.max(ordered).alias("last"))
-    leaders = stage(leaders, "leaders")
+def _link_long_lists(again, classes, texts, near, links, percent, n, similar) -> DataFrame:
+    """Links of the second pass, over the texts ``again`` whose sets enter long lists."""
+    made = _fingerprints(again, percent, n, 1.0, "again")
+    short, long_lists = _entries(made, percent, 1.0, "again")
+    central = [F.min(F.struct("pos", F.xxhash64("cls", F.lit(k)).alias("h"), "cls", "size")).alias(f"l{k}") for k in range(LEADERS)]
+    leaders = stage(long_lists.groupBy("shingle").agg(*central), "leaders")
     stars = small_join(long_lists, leaders, ["shingle"], "inner").select(
-        "cls", "size", F.explode(F.array("first", "last")).alias("leader")
+        "cls", "size", F.explode(F.array(*(F.col(f"l{k}") for k in range(LEADERS)))).alias("leader")
     )
     fits = F.least("size", "leader.size") * 100 >= F.greatest("size", "leader.size") * percent
     stars = stars.where(fits & (F.col("cls") != F.col("leader.cls"))).select(
         F.col("leader.cls").alias("a_cls"), F.col("leader.size").alias("a_size"), F.col("cls").alias("b_cls"), F.col("size").alias("b_size")
     )
-    first = stage(near.unionByName(stars).distinct(), "candidates")
-    found = _verify(first, classes, texts, n, "first")
-    similar = F.expr(f"100 * overlap >= {percent} * (a_size + b_size - overlap)")
-    links = found.where(similar)
+    fresh = _pairs_in_lists(short, percent, False).unionByName(stars).distinct().join(near, _PAIRS.names, "left_anti")
+    fresh = stage(fresh, "star_candidates")
+    found = _verify(fresh, classes, texts, n, "stars")
+    close = found.where(similar)
 
-    if not long_lists.isEmpty():
-        grouped = _class_components(links, classes)
-        rest = _residue(long_lists, grouped, percent)
-        rest = stage(rest.distinct().join(first, _PAIRS.names, "left_anti"), "second_candidates")
-        leading = leaders.select(F.explode(F.array("first", "last")).alias("l"))
-        leading = leading.select(F.col("l.cls").alias("a_cls"), F.col("l.size").alias("a_size")).distinct()
-        rest = _skip_by_leader(rest, found.join(leading, ["a_cls", "a_size"], "left_semi"), percent)
-        links = links.unionByName(_verify(rest, classes, texts, n, "second").where(similar))
-    return made.select("doc_id", "n_shingles", "cls"), classes, links
+    grouped = _class_components(links.unionByName(close), classes)
+    alone = F.xxhash64("cls", "size")
+    marked = small_join(long_lists, grouped, ["cls", "size"], "left")
+    marked = stage(marked.withColumn("component", F.coalesce("component", alone)), "marked")
+    split = marked.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    open_lists = small_join(marked, stage(split.select("shingle"), "open_lists"), ["shingle"], "left_semi")
+    rest = _pairs_in_lists(open_lists, percent, True).distinct()
+    rest = stage(rest.join(fresh, _PAIRS.names, "left_anti").join(near, _PAIRS.names, "left_anti"), "rest_candidates")
+    rest = _skip_by_leader(rest, found, percent)
+    return close.unionByName(_verify(rest, classes, texts, n, "rest").where(similar))
 
 
-def _class_components(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, size, component) of the classes that have links."""
+def _class_components(links: DataFrame, classes: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """(cls, size, component) of the classes that have links; ``more``: further links (a, b) between ids."""
     reps = classes.select("cls", "size", "rep")
     a = reps.select(F.col("cls").alias("a_cls"), F.col("size").alias("a_size"), F.col("rep").alias("a"))
     b = reps.select(F.col("cls").alias("b_cls"), F.col("size").alias("b_size"), F.col("rep").alias("b"))
     named = links.join(a, ["a_cls", "a_size"]).join(b, ["b_cls", "b_size"]).select("a", "b")
+    if more is not None:
+        named = named.unionByName(more)
     return stage(reps.join(components(named).withColumnRenamed("node", "rep"), "rep").drop("rep"), "class_components")
 
 
-def _residue(long_lists: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """Pairs of long lists whose classes are not connected yet."""
-    alone = F.xxhash64("cls", "size")
-    marked = small_join(long_lists, grouped, ["cls", "size"], "left")
-    marked = stage(marked.withColumn("component", F.coalesce("component", alone)), "marked")
-    split = marked.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    open_lists = small_join(marked, stage(split.select("shingle"), "open_lists"), ["shingle"], "left_semi")
-    return (
-        open_lists.select("shingle", "cls", "size", "pos", "component").repartition("shingle")
-        .sortWithinPartitions("shingle", "size", "pos", "cls").mapInArrow(_pairs_of_lists(percent, True), PAIRS)
-    )
-
-
 def _skip_by_leader(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Leave out pairs (y, z) whose overlaps with a common leader x prove that they are not similar.
 
     Shingles of y and z together lie in x, at most min(o_y, o_z), or outside, at most
     min(|y| - o_y, |z| - o_z). One leader per class is enough for a proof, so the bound uses the class's
-    leader with the largest overlap; without a common leader a pair stays.
+    partner with the largest overlap; without a common one a pair stays.
     """
     best = known.groupBy(F.col("b_cls").alias("cls"), F.col("b_size").alias("size")).agg(
         F.max_by(F.struct(F.col("a_cls").alias("leader"), "overlap"), F.struct("overlap", "a_cls")).alias("best")
@@ -366,6 +419,15 @@ def _skip_by_leader(pairs: DataFrame, known: DataFrame, percent: int) -> DataFra
     return stage(both.where(~F.coalesce(hopeless, F.lit(False))).select(*_PAIRS.names), "kept_candidates")
 
 
+def _several_texts(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): each doc_id that occurs with several sets, and the representatives of these."""
+    rows = found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "cls", F.col("n_shingles").cast("int").alias("size"))
+    key = F.struct("cls", "size")
+    several = rows.groupBy("doc_id").agg(F.min(key).alias("x"), F.max(key).alias("y")).where("x <> y").select("doc_id")
+    several = stage(several, "several_texts")
+    return small_join(rows, several, ["doc_id"], "left_semi").join(classes, ["cls", "size"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+
+
 def jaccard_components(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the smallest doc_id that links reach.
 
@@ -374,7 +436,7 @@ def jaccard_components(documents: DataFrame, percent: int = 85, n: int = 4) -> D
     texts is one node with the links of them all. An empty table gives no rows.
     """
     found, classes, links = link_classes(documents, percent, n)
-    grouped = _class_components(links, classes)
+    grouped = _class_components(links, classes, _several_texts(found, classes))
     moved = classes.join(grouped, ["cls", "size"], "left").where("component IS NOT NULL OR copies > 1")
     moved = stage(moved.select("cls", F.col("size").cast("long").alias("n_shingles"), F.coalesce("component", "rep").alias("component")), "moved")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

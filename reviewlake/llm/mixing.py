@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from reviewlake.llm.texts import WORD, small_join
 from reviewlake.operators.placement import stage
 
-#: A source's documents lie in so many blocks, by hash; one block is the unit in which a budget is met.
-BLOCKS = 65536
+#: A source's documents lie in so many blocks, by hash; one block is the unit in which a budget is met. It also bounds
+#: what meets in one task of the plan: a source of any size is so many rows there.
+BLOCKS = 1024
 #: Halvings of the interval of exponents; so many fit into one pass over the sources.
 HALVINGS, HALVINGS_A_PASS = 40, 5
 SOURCE, ROW_TOKENS = "_mix_source", "_mix_tokens"
@@ -130,7 +131,7 @@ def mix(
     Added columns: mix_source, mix_tokens, mix_weight, mix_epoch (from 0), mix_block and mix_place, which
     orders the blocks of a source and epoch. Whole epochs give every document once. The part of an epoch
     that remains takes blocks in permuted order while the tokens, with half of the block at the end, stay
-    within the budget; it is met to about a block, 1/65,536 of a source where documents are small.
+    within the budget; it is met to about half a block, that is half a thousandth of the source or half a document.
     Every choice hangs on doc_id, source and seed alone, so a lost task repeats it.
 
     NULL is a source like any other. Documents without words cost nothing and come with each whole epoch,

@@ -34,21 +34,38 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct ``size``-word shingles; a shorter text is one shingle as a whole."""
-    words = lower_words(text)
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = word_hashes(words)
-    span = min(size, len(words))
-    shingles = np.full(len(words) - span + 1, span, np.uint64)
-    for offset in range(span):
-        shingles = mix(shingles * np.uint64(0x9E3779B97F4A7C15) + hashes[offset : offset + len(shingles)])
-    return np.unique(shingles)
+#: Odd factors of the words of a shingle.
+_FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+
+
+def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
+    """For each text the sorted 64-bit hashes of its distinct ``size``-word shingles; a shorter text is one shingle.
+
+    Words are hashed one by one, shingles of all texts together, so the cost per text is one small sort.
+    """
+    words = [lower_words(text) for text in texts]
+    counts = np.array([len(w) for w in words], np.int64)
+    total = int(counts.sum())
+    if not total:
+        return [np.zeros(0, np.uint64) for _ in texts]
+    hashes = np.fromiter((h for w in words for h in map(xxhash.xxh3_64_intdigest, w)), np.uint64, total)
+    shingles = np.zeros(total, np.uint64)
+    for offset in range(size):
+        shingles[: total - offset] += hashes[offset:] * _FACTORS[offset]
+    shingles = mix(shingles)
+    ends = np.cumsum(counts)
+    found = []
+    for start, stop in zip((ends - counts).tolist(), ends.tolist()):
+        if stop - start >= size:
+            part = shingles[start : stop - size + 1].copy()
+            part.sort()
+            found.append(part[np.concatenate(([True], part[1:] != part[:-1]))])
+        elif stop > start:
+            whole = (hashes[start:stop] * _FACTORS[size : size + stop - start]).sum(keepdims=True)
+            found.append(mix(whole))
+        else:
+            found.append(np.zeros(0, np.uint64))
+    return found
 
 
 def text_column(batch: pa.RecordBatch, name: str) -> list[str | None]:
