@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from reviewlake.llm.pretokens import ChunkIds
+from reviewlake.llm.pretokens import ChunkIds, chunk_text
 from reviewlake.llm.texts import ship_package, slices, text_column
 
 #: Text of one corpus block.
@@ -147,12 +147,12 @@ def corpus_encoder(ranks_path: str, pattern: str) -> ChunkIds:
     """A table of chunks whose new entries are encoded by one replay over their distinct words."""
     ranks, splitter = load_ranks(ranks_path), regex.compile(pattern)
 
-    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         number: dict[str, int] = {}
         words: list[int] = []
         per_chunk = []
-        for chunk in chunks:
-            found = splitter.findall(chunk)
+        for key in keys:
+            found = splitter.findall(chunk_text(key))
             per_chunk.append(len(found))
             words += [number.setdefault(word, len(number)) for word in found]
         flat, counts = replay([w.encode("utf-8", "surrogatepass") for w in number], ranks)
@@ -161,8 +161,8 @@ def corpus_encoder(ranks_path: str, pattern: str) -> ChunkIds:
         length = counts[word]
         stops = np.cumsum(length)
         ids = flat[np.repeat(starts[word] - stops + length, length) + np.arange(int(length.sum()))]
-        chunk_of = np.repeat(np.arange(len(chunks)), per_chunk)
-        return ids, np.bincount(chunk_of, weights=length, minlength=len(chunks)).astype(np.int64)
+        chunk_of = np.repeat(np.arange(len(keys)), per_chunk)
+        return ids, np.bincount(chunk_of, weights=length, minlength=len(keys)).astype(np.int64)
 
     return ChunkIds(encode)
 
@@ -171,10 +171,7 @@ def encoded(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str, bl
     """(slice of a batch, ids of each of its texts)."""
     table = corpus_encoder(ranks_path, pattern)
     for batch in slices(batches, "text", block_bytes):
-        texts = text_column(batch, "text")
-        table.learn(texts)
-        yield batch, (table.ids(text) for text in texts)
-        table.forget_whole()
+        yield batch, table.encode_all(text_column(batch, "text"))
 
 
 def decode(ids: np.ndarray, ranks: Ranks) -> bytes:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Callable, Iterable
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
 _ODD_SPACE = re.compile(r"[^\S \n]")
 WHOLE, START = "\x01", "\x00"
-REMEMBERED = 300_000
+MARKS = START + WHOLE
+REMEMBERED = 600_000
 
 
 def chunk_keys(text: str) -> list[str]:
@@ -39,10 +42,10 @@ def chunk_text(key: str) -> str:
 
 
 class ChunkIds:
-    """Ids of chunks, encoded once each; ``encode`` turns a list of texts into flat ids and their counts.
+    """Ids of chunks, each encoded once; ``encode`` turns a list of keys into flat ids and their counts.
 
-    Whole-text chunks are not kept beyond a call, and the table starts anew above ``REMEMBERED`` chunks,
-    so it stays bounded.
+    Keys with a mark come first in the list that ``encode`` gets. The table starts anew above
+    ``REMEMBERED`` chunks or the ids of very long whole texts, so it stays bounded.
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
@@ -50,41 +53,38 @@ class ChunkIds:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.counts = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-
-    def learn(self, texts: Iterable[str | None]) -> None:
-        """Encode all chunks of ``texts`` that are new, in one call."""
-        if len(self.known) > REMEMBERED:
+        self._known: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self._flat = np.zeros(0, np.uint32)
+        self._counts = np.zeros(0, np.int64)
+        self._starts = np.zeros(0, np.int64)
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text. The new chunks of all texts are encoded in one call before the first comes back."""
+        if len(self._known) > REMEMBERED or len(self._flat) > 20 * REMEMBERED:
             self._reset()
-        fresh: set[str] = set()
+        number = self._known.__getitem__
+        rows = []
         for text in texts:
-            if text:
-                fresh.update(chunk_keys(text))
-        keys = [key for key in fresh if key not in self.known]
+            keys = chunk_keys(text) if text else []
+            rows.append(np.fromiter(map(number, keys), np.int32, len(keys)))
+        self._learn(list(itertools.islice(self._known, len(self._counts), None)))
+        return map(self._ids, rows)
+
+    def _learn(self, keys: list[str]) -> None:
         if not keys:
             return
-        flat, counts = self._encode([chunk_text(key) for key in keys])
-        base = len(self.known)
-        self.known.update(zip(keys, range(base, base + len(keys))))
-        self.flat = np.concatenate((self.flat, flat))
-        self.counts = np.concatenate((self.counts, counts))
-        self.starts = np.cumsum(self.counts) - self.counts
-
-    def ids(self, text: str | None) -> np.ndarray:
-        """Ids of a text whose chunks are known."""
-        keys = chunk_keys(text) if text else []
-        if not keys:
-            return np.zeros(0, np.uint32)
-        row = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        counts = self.counts[row]
+        marked = np.array([key[0] in MARKS for key in keys])
+        order = np.argsort(~marked, kind="stable")
+        flat, counts = self._encode([keys[i] for i in order.tolist()])
+        starts = np.cumsum(counts) - counts + len(self._flat)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self._flat = np.concatenate((self._flat, flat))
+        self._counts = np.concatenate((self._counts, counts[place]))
+        self._starts = np.concatenate((self._starts, starts[place]))
+
+    def _ids(self, row: np.ndarray) -> np.ndarray:
+        counts = self._counts[row]
         ends = np.cumsum(counts)
-        at = np.repeat(self.starts[row] - ends + counts, counts)
-        return self.flat[at + np.arange(len(at))]
-
-    def forget_whole(self) -> None:
-        """Drop everything if texts that are one chunk each take much of the table."""
-        if len(self.flat) > 40 * REMEMBERED:
-            self._reset()
+        at = np.repeat(self._starts[row] - ends + counts, counts)
+        return self._flat[at + np.arange(len(at))]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from reviewlake.llm.pretokens import ChunkIds
+from reviewlake.llm.pretokens import START, WHOLE, ChunkIds, chunk_text
 from reviewlake.llm.texts import ship_package, slices, small_join, text_column
 from reviewlake.operators.placement import scratch_path
 
@@ -148,13 +148,31 @@ def _library_encoder(path: str) -> ChunkIds:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, counts = [], []
-        for start in range(0, len(chunks), 4096):
-            found = [e.ids for e in tokenizer.encode_batch_fast(chunks[start : start + 4096], add_special_tokens=False)]
-            counts += map(len, found)
-            flat.append(np.fromiter((i for ids in found for i in ids), np.uint32))
-        return np.concatenate(flat), np.array(counts, np.int64)
+    length = np.zeros(max(tokenizer.get_vocab().values()) + 1, np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        length[i] = len(token)  # the byte-level alphabet has one character per byte
+
+    def single(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in tokenizer.encode_batch_fast([chunk_text(k) for k in keys], add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
+    def joined(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks that begin with white space encode as one text; the bytes of its tokens tell where each ends."""
+        texts = [chunk_text(k) for k in keys]
+        (found,) = tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        ends = np.cumsum(length[ids])
+        wanted = np.cumsum([len(t.encode("utf-8", "surrogatepass")) for t in texts])
+        place = np.searchsorted(ends, wanted)
+        if place[-1] >= len(ends) or (ends[place] != wanted).any():
+            return single(keys)
+        return ids, np.diff(place, prepend=-1)
+
+    def encode(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        marked = sum(key[0] in (START, WHOLE) for key in keys)  # these come first
+        parts = [single(keys[i : min(i + 4096, marked)]) for i in range(0, marked, 4096)]
+        parts += [joined(keys[i : i + 4096]) for i in range(marked, len(keys), 4096)]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
 
     return ChunkIds(encode)
 
@@ -179,16 +197,13 @@ def _segments(tokenizer_path: str, segment_ids: int):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in slices(batches, "text", 16 << 20):
-            texts = text_column(batch, "text")
-            known.learn(texts)
-            for doc_id, text in zip(text_column(batch, "doc_id"), texts):
+            for doc_id, ids in zip(text_column(batch, "doc_id"), known.encode_all(text_column(batch, "text"))):
                 docs.append(doc_id)
-                held.append(np.append(known.ids(text), np.uint32(END_ID)))
+                held.append(np.append(ids, np.uint32(END_ID)))
                 total += len(held[-1])
                 if total >= segment_ids:
                     yield close()
                     seq, docs, held, total = seq + 1, [], [], 0
-            known.forget_whole()
         if docs:
             yield close()
 
