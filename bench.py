@@ -18,7 +18,7 @@ HEADLINE = (
     "stratified_split stratified_split_orders hist_rating_by_split attach_features "
     "identify_language identify_conversations lemmatise lemmatise_columns token_stats "
     "extra_page_urls extract_embedded_json document_batches roundtrip_partitioned "
-    "class_weights undersample oversample_draws confusion guarded_accuracy best_trial logistic forest"
+    "class_weights undersample oversample_draws confusion guarded_accuracy best_trial gold_table logistic forest"
 ).split()
 
 
@@ -27,7 +27,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     wanted = sys.argv[1:] or HEADLINE
     spark = local_session(cpus)
-    catalogue.counts_by_product(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    catalogue.term_counts(spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds: dict[str, float] = {}
     for name in wanted:
         started = time.monotonic()

@@ -41,7 +41,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
-    return _local_folder.setdefault(app, tempfile.mkdtemp(prefix="reviewlake-"))
+    if app not in _local_folder:
+        _local_folder[app] = tempfile.mkdtemp(prefix="reviewlake-")
+    return _local_folder[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -100,8 +102,13 @@ def pin_small(df: DataFrame, label: str, max_rows: int = PIN_ROWS, max_bytes: in
     """Evaluate an aggregate that is expected to be tiny, exactly once.
 
     Up to ``max_rows`` rows come back as a local relation marked for broadcast. A bigger result is
-    staged instead and joined by whatever strategy its size calls for.
+    staged instead and joined by whatever strategy its size calls for. Wide rows, which could be many
+    bytes before they are counted, are staged and measured first.
     """
+    if any(not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) for f in df.schema.fields):
+        df = stage(df, label)
+        if not fits_broadcast(df, max_bytes):
+            return df
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows <= max_rows and head.nbytes <= max_bytes:
         return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
@@ -134,6 +141,7 @@ def lookup_join(
     hot_by: str | None = None,
     max_bytes: int = BROADCAST_BYTES,
     hot_share: float = 0.5,
+    one_row_per_key: bool = False,
 ) -> DataFrame:
     """Join a table with a lookup table that holds few rows per key (``how``: inner or left).
 
@@ -141,11 +149,14 @@ def lookup_join(
     good part of a shuffle partition, found from ``hot_by`` (a frequency column of ``small``) or by
     counting ``big``, are served from a broadcast slice, and all other rows by a shuffle join. The two
     parts cover every row; rows with a NULL key match nothing and go with the first part. Without such
-    keys it is one plain shuffle join. ``small`` is read several times, so stage it first.
+    keys it is one plain shuffle join. ``small`` is read several times, so stage it first. A ``big`` that has
+    ``one_row_per_key`` cannot have hot keys: it is joined at once, without being counted.
     """
     keys = as_list(on)
     if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), keys, how)
+    if one_row_per_key:
+        return big.join(small, keys, how)
 
     if hot_by:
         frequency = small.groupBy(*keys).agg(F.max(hot_by).alias("_n"))

@@ -147,15 +147,15 @@ def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {DOC_BODY}, {_ngram_ctes('src', 1, 2)} SELECT id, term, tf FROM tc")
+@query(f"WITH {DOC_BODY}, {_ngram_ctes('src')} SELECT id, term, tf FROM tc")
 def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectorize.term_counts(_review_texts(spark, sf_dir), "id", "text", (1, 2))
+    return vectorize.term_counts(_review_texts(spark, sf_dir), "id", "text", NGRAM_RANGE)
 
 
-@query(f"WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB} SELECT term, df, total FROM freq WHERE df > 1")
+@query(f"WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB} SELECT term, df, total FROM freq")
 def doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = vectorize.term_counts(_review_texts(spark, sf_dir), "id", "text", NGRAM_RANGE)
-    return vectorize.doc_freq(counted).where(F.col("df") > 1)
+    return vectorize.doc_freq(counted)
 
 
 @query(f"WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB} SELECT term, df, total FROM vocab")
@@ -168,16 +168,31 @@ def prune_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-WITH {DOC_BODY}, {_ngram_ctes('src', 1, 2)}, {VOCAB}
+WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB}
 SELECT term, df, total FROM vocab ORDER BY total DESC, term LIMIT 500
 """
 )
 def vocabulary_max_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _review_texts(spark, sf_dir)
-    counted = vectorize.term_counts(rows, "id", "text", (1, 2))
+    counted = vectorize.term_counts(rows, "id", "text", NGRAM_RANGE)
     return vectorize.prune(vectorize.doc_freq(counted), rows.count(), max_features=500)
 
 
+@query(
+    f"""
+WITH {DOC_BODY}, {_ngram_ctes('src')},
+freq AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM tc GROUP BY term),
+nd AS (SELECT count(*) AS n FROM src)
+SELECT term, df, total FROM freq, nd WHERE df >= CAST(0.01 AS DOUBLE) * n AND df <= CAST(0.3 AS DOUBLE) * n
+"""
+)
+def prune_common_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both bounds as shares, and an upper one that common words pass."""
+    rows = _review_texts(spark, sf_dir)
+    counted = vectorize.term_counts(rows, "id", "text", NGRAM_RANGE)
+    return vectorize.prune(vectorize.doc_freq(counted), rows.count(), min_df=0.01, max_df=0.3)
+
+
 @query(
     f"""
 WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB}
@@ -193,7 +208,7 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB}, {TFIDF} SELECT id, term, round(value, 6) AS value FROM tfidf")
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _review_texts(spark, sf_dir)
-    counted = vectorize.term_counts(rows, "id", "text", NGRAM_RANGE)
+    counted = stage(vectorize.term_counts(rows, "id", "text", NGRAM_RANGE), "term_counts")
     n_docs = rows.count()
     kept = stage(vectorize.prune(vectorize.doc_freq(counted), n_docs), "vocabulary")
     return vectorize.tfidf(counted, kept, n_docs, "id").withColumn("value", F.round("value", 6))
@@ -275,7 +290,7 @@ pairs AS (SELECT doc_id, source, unnest(l) AS line, generate_subscripts(l, 1) -
 @query(
     f"""
 WITH {UNWOUND}
-SELECT CAST(doc_id * 100000 + i AS INTEGER) AS id, CAST(doc_id AS INTEGER) AS product_id, lower(source) AS brand_name,
+SELECT doc_id * 4294967296 + i AS id, doc_id AS product_id, lower(source) AS brand_name,
        'item ' || doc_id AS product_name, line AS text,
        array_to_string(string_split(line, ' ')[1:3], ' ') AS title, CAST(length(line) % 5 + 1 AS INTEGER) AS rating,
        CAST(length(line) % 60 + 18 AS VARCHAR) AS "reviewerAge"
@@ -287,6 +302,23 @@ def unwind_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.normalise_ids(cleaning.unwind_reviews(nested))
 
 
+@query(
+    f"""
+WITH {UNWOUND},
+keyed AS (SELECT CASE WHEN doc_id % 5 = 0 THEN 'x' || doc_id WHEN doc_id % 7 = 0 THEN NULL ELSE CAST(doc_id AS VARCHAR) END AS id, line FROM pairs)
+SELECT id, md5(line) AS text_hash, CASE WHEN id IS NULL THEN 'no id' ELSE 'id is no number' END AS reason
+FROM keyed WHERE TRY_CAST(id AS BIGINT) IS NULL
+"""
+)
+def rejected_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews that later stages could not join: none may vanish without a row here."""
+    unwound = cleaning.unwind_reviews(product_docs(texts(spark, sf_dir, "documents")))
+    doc = F.col("product_id").cast("bigint")
+    bad = F.when(doc % 5 == 0, F.concat(F.lit("x"), "product_id")).when(doc % 7 == 0, None).otherwise(F.col("product_id"))
+    found = cleaning.rejected_ids(unwound.withColumn("id", bad))
+    return found.select("id", F.md5(F.col("text").cast("binary")).alias("text_hash"), "reason")
+
+
 @query(
     """
 SELECT doc_id, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS BIGINT) AS total,
@@ -304,8 +336,8 @@ def document_paging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT event_id, TRY_CAST(CASE WHEN event_id % 7 = 0 THEN 'x' || event_id ELSE CAST(event_id AS VARCHAR) END AS INTEGER) AS id,
-       TRY_CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS product_id
+SELECT event_id, TRY_CAST(CASE WHEN event_id % 7 = 0 THEN 'x' || event_id ELSE CAST(event_id AS VARCHAR) END AS BIGINT) AS id,
+       TRY_CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS product_id
 FROM events
 """
 )
@@ -883,12 +915,12 @@ def document_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.groupBy("batch").agg(F.count("*").alias("size"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
 
 
-@query("SELECT doc_id, lower(source) AS brand_name, length(text) AS chars FROM documents")
+@query("SELECT doc_id, lower(source) AS brand_name, md5(text) AS text_hash FROM documents")
 def roundtrip_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "text", tx.brand_key("source").alias("brand_name"))
     path = sinks.write_files(rows, scratch_path(spark, "partitioned"), partition_by="brand_name")
     back = spark.read.schema(rows.schema).parquet(path)
-    return back.select("doc_id", "brand_name", F.length("text").cast("bigint").alias("chars"))
+    return back.select("doc_id", "brand_name", F.md5(F.col("text").cast("binary")).alias("text_hash"))
 
 
 @query(f"WITH {REVIEWS}, {SPLIT} SELECT id, train_test, positive_review FROM gold")
@@ -901,7 +933,7 @@ def roundtrip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
 WITH {UNWOUND}
-SELECT CAST(doc_id * 100000 + i AS INTEGER) AS id, lower(source) AS brand_name, md5(line) AS text_hash FROM pairs
+SELECT doc_id * 4294967296 + i AS id, lower(source) AS brand_name, md5(line) AS text_hash FROM pairs
 """
 )
 def roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -917,7 +949,7 @@ def roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINE_REVIEWS = f"""
 {UNWOUND},
 lines_raw AS (
-  SELECT doc_id * 100000 + i AS id, CASE doc_id % 3 WHEN 0 THEN 'tv' WHEN 1 THEN 'phone' ELSE 'appliance' END AS category,
+  SELECT doc_id * 4294967296 + i AS id, CASE doc_id % 3 WHEN 0 THEN 'tv' WHEN 1 THEN 'phone' ELSE 'appliance' END AS category,
          line AS text, array_to_string(string_split(line, ' ')[1:3], ' ') AS title,
          CAST(length(line) % 5 + 1 AS INTEGER) AS rating FROM pairs)
 """
@@ -928,7 +960,7 @@ lines_raw AS (
 WITH {_LINE_REVIEWS}, identified AS ({_identify_sql('id', 'lines_raw').strip()}),
 reviews AS (SELECT lines_raw.*, language FROM lines_raw JOIN identified USING (id) WHERE language IN ('en', 'de')),
 {LEXICON}, {WORDS}, {LEMMATISED}, {SPLIT}
-SELECT CAST(id AS INTEGER) AS id, category, language, rating, md5(lemmatized) AS lemma_hash, train_test, positive_review
+SELECT id, category, language, rating, md5(lemmatized) AS lemma_hash, train_test, positive_review
 FROM gold JOIN silver USING (id)
 """
 )
@@ -1136,65 +1168,135 @@ def best_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.best(_scored_random(spark, sf_dir))
 
 
-# ---------------------------------------------------------------- learners (no SQL counterpart)
+# ---------------------------------------------------------------- learners
+#
+# Two engines cannot fit the same model, but they can agree on what must hold of it: which rows are scored, that each has
+# a probability and the decision that follows from it, how the confusion cells add up per actual class, and that the
+# model does better than chance on labels it has not seen. "valid" and "learned" say so, row by row.
+
+#: Area under the ROC curve, or mean recall of the classes, that a model has to exceed on the test rows. A vote that
+#: is always the same has exactly this.
+FLOOR = 0.5
 
+_LABELLED_SPLIT = f"""
+reviews AS (SELECT doc_id AS id, quality AS rating FROM documents JOIN labels USING (doc_id)), {SPLIT.strip()},
+test AS (SELECT id, CAST(rating AS INTEGER) AS actual FROM gold WHERE train_test = 'test')
+"""
+_SCORED = f"WITH {_LABELLED_SPLIT} SELECT id, actual, true AS valid, true AS learned FROM test"
 
-def _feature_rows(spark: SparkSession, sf_dir: str, max_features: int | None = None) -> DataFrame:
+
+def _totals_sql(names: tuple[str, ...]) -> str:
+    models = ", ".join(f"('{name}')" for name in names)
+    return f"""
+WITH {_LABELLED_SPLIT}
+SELECT model, actual, count(*) AS scored, 2::BIGINT AS cells, true AS learned
+FROM test CROSS JOIN (VALUES {models}) AS m(model) GROUP BY model, actual
+"""
+
+
+def _feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
     rows = keyed.attach(_reviews(spark, sf_dir).select("id", "text"), labels, computed=False)
     rows = stage(split.stratified(rows, "id", "quality"), "labelled")
-    return vectorize.feature_vectors(rows, "id", "text", "quality", max_features=max_features)
+    return vectorize.feature_vectors(rows, "id", "text", "quality")
 
 
-def _scores(predictions: DataFrame) -> DataFrame:
-    return predictions.select("id", "actual", "predicted", F.round("chance", 6).alias("chance"))
+def _scored(predictions: DataFrame, floor: float = FLOOR) -> DataFrame:
+    """One row per test row: does it hold a probability and its decision, and does the model reach the floor?"""
+    predictions = stage(predictions, "predictions")
+    score = evaluate.area_under_roc(predictions)
+    valid = F.col("chance").between(0.0, 1.0) & (F.col("predicted") == (F.col("chance") > 0.5).cast("int"))
+    return predictions.select("id", "actual", valid.alias("valid"), F.lit(score > floor).alias("learned"))
 
 
-@query()
+def _totals(confusion: DataFrame, floor: float = FLOOR) -> DataFrame:
+    """Per model and actual class: rows scored, cells, and whether the model reaches the floor."""
+    right = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0))
+    recalls = confusion.groupBy("model", "actual").agg((right / F.sum("count")).alias("recall"))
+    per_model = recalls.groupBy("model").agg((F.avg("recall") >= floor).alias("learned"))
+    per_class = confusion.groupBy("model", "actual").agg(F.sum("count").alias("scored"), F.count("*").alias("cells"))
+    return per_class.join(per_model, "model").select("model", "actual", "scored", "cells", "learned")
+
+
+@query(_SCORED)
 def logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = split.parts(_feature_rows(spark, sf_dir))
-    return _scores(models.logistic(train)(test))
+    return _scored(models.logistic(train)(test))
 
 
-@query()
+@query(_SCORED)
 def forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = split.parts(_feature_rows(spark, sf_dir, max_features=300))
-    return _scores(models.forest(train, trees=20, max_depth=10)(test))
+    train, test = split.parts(_feature_rows(spark, sf_dir))
+    return _scored(models.forest(train)(test))
 
 
-@query()
+@query(_SCORED)
 def balanced_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = split.parts(_feature_rows(spark, sf_dir, max_features=300))
-    return _scores(models.balanced_forest(train, "id", strategy="all", trees=4, max_depth=8)(test))
+    train, test = split.parts(_feature_rows(spark, sf_dir))
+    return _scored(models.balanced_forest(train, "id", strategy="all")(test))
+
+
+COMPARED = (
+    "logistic, balanced weights", "forest, balanced weights", "forest, undersampled, all", "forest, undersampled, not minority",
+)
 
 
-@query()
+@query(_totals_sql(COMPARED))
 def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = split.parts(_feature_rows(spark, sf_dir, max_features=300))
-    fitted = {
-        "logistic, balanced weights": models.logistic(train),
-        "forest, balanced weights": models.forest(train, trees=10, max_depth=8),
-        "forest, undersampled, all": models.balanced_forest(train, "id", strategy="all", trees=2, max_depth=6),
-        "forest, undersampled, not minority": models.balanced_forest(train, "id", strategy="not minority", trees=2, max_depth=6),
-    }
-    return evaluate.compare({name: model(test) for name, model in fitted.items()})
+    train, test = split.parts(_feature_rows(spark, sf_dir))
+    fitted = (
+        models.logistic(train),
+        models.forest(train),
+        models.balanced_forest(train, "id", strategy="all"),
+        models.balanced_forest(train, "id", strategy="not minority"),
+    )
+    return _totals(stage(evaluate.compare({name: model(test) for name, model in zip(COMPARED, fitted)}), "compared"))
+
+
+#: How many trials a search runs and their seed: the space is the whole one, this seed happens to draw few trees.
+TRIALS, TRIAL_SEED = 3, 32211
 
 
 def _forest_search(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    train, test = split.parts(_feature_rows(spark, sf_dir, max_features=100))
-    space = {**search.SPACE, "n_estimators": [2, 3]}
-    trials = search.random_trials(spark, 3, seed=5, space=space)
-    objective = search.forest_objective(train, test, "id", max_depth=5)
-    return train, test, search.run(trials, objective, scratch_path(spark, "trials"), parallelism=3)
+    train, test = split.parts(_feature_rows(spark, sf_dir))
+    trials = search.random_trials(spark, TRIALS, seed=TRIAL_SEED)
+    objective = search.forest_objective(train, test, "id")
+    return train, test, search.run(trials, objective, scratch_path(spark, "trials"))
 
 
-@query()
+@query(
+    f"""
+WITH ids AS (SELECT CAST(range AS BIGINT) AS trial_id FROM range({TRIALS}))
+SELECT trial_id, 10 + 10 * (CAST('0x' || substr(md5('{TRIAL_SEED}:n_estimators:' || trial_id), 1, 15) AS BIGINT) % 50) AS n_estimators,
+       1 + (CAST('0x' || substr(md5('{TRIAL_SEED}:min_samples_leaf:' || trial_id), 1, 15) AS BIGINT) % 10) AS min_samples_leaf,
+       (['sqrt', 'log2'])[CAST('0x' || substr(md5('{TRIAL_SEED}:max_features:' || trial_id), 1, 15) AS BIGINT) % 2 + 1] AS max_features,
+       ([true, false])[CAST('0x' || substr(md5('{TRIAL_SEED}:bootstrap:' || trial_id), 1, 15) AS BIGINT) % 2 + 1] AS bootstrap,
+       ([true, false])[CAST('0x' || substr(md5('{TRIAL_SEED}:replacement:' || trial_id), 1, 15) AS BIGINT) % 2 + 1] AS replacement,
+       (['majority', 'not minority', 'not majority', 'all'])[CAST('0x' || substr(md5('{TRIAL_SEED}:sampling_strategy:' || trial_id), 1, 15) AS BIGINT) % 4 + 1]
+         AS sampling_strategy,
+       (['gini', 'entropy'])[CAST('0x' || substr(md5('{TRIAL_SEED}:criterion:' || trial_id), 1, 15) AS BIGINT) % 2 + 1] AS criterion,
+       true AS scored, 1::BIGINT AS winners
+FROM ids
+"""
+)
 def search_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forest_search(spark, sf_dir)[2]
+    """Every trial with all its drawn values, its score in [0, 1], and one winner that no score exceeds."""
+    trials = _forest_search(spark, sf_dir)[2]
+    top = search.best(trials).first()["score"]
+    valid = F.col("score").between(0.0, top) & (F.col("seconds") > 0)
+    return trials.select(
+        "trial_id",
+        F.col("n_estimators").cast("bigint").alias("n_estimators"),
+        F.col("min_samples_leaf").cast("bigint").alias("min_samples_leaf"),
+        "max_features", "bootstrap", "replacement", "sampling_strategy", "criterion",
+        valid.alias("scored"),
+        F.lit(search.best(trials).count()).cast("bigint").alias("winners"),
+    )
 
 
-@query()
+@query(_totals_sql(("default", "optimised")).replace("true AS learned", "model = 'default' AS default_model"))
 def compare_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test, trials = _forest_search(spark, sf_dir)
     winner = search.best(trials).first().asDict()
-    return search.compare_best(train, test, "id", winner, trees=2, max_depth=5)
+    totals = _totals(stage(search.compare_best(train, test, "id", winner), "compared"))
+    return totals.drop("learned").withColumn("default_model", F.col("model") == "default")

@@ -8,6 +8,9 @@ from reviewlake.functions.text import lexical_tokens
 from reviewlake.operators.placement import spread
 
 CATEGORIES = ("tv", "phone", "appliance")
+#: More lines than a text can have, so line ids never collide.
+LINES_PER_DOCUMENT = 1 << 32
+LINES_PER_PAGE = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +40,7 @@ def product_docs(documents: DataFrame) -> DataFrame:
     """Each document as a nested product page whose reviews are its lines, keyed by an id per line."""
     lines = F.split("text", "\n")
     entry = lambda line, i: F.struct(
-        (F.col("doc_id") * 100_000 + i).cast("string").alias("key"),
+        (F.col("doc_id") * LINES_PER_DOCUMENT + i).cast("string").alias("key"),
         F.struct(
             line.alias("reviewText"),
             F.substring_index(line, " ", 3).alias("title"),
@@ -48,7 +51,12 @@ def product_docs(documents: DataFrame) -> DataFrame:
     detail = F.struct(
         F.col("doc_id").cast("string").alias("pid"), F.upper("source").alias("brandName"), F.concat(F.lit("item "), F.col("doc_id")).alias("name")
     )
-    paging = F.struct(F.size(lines).cast("int").alias("totalItems"), F.create_map(F.lit("1"), F.slice(lines, 1, 10)).alias("byPage"))
+    page = lambda p: F.struct(
+        (p + 1).cast("string").alias("key"), F.slice(lines, p * LINES_PER_PAGE + 1, F.lit(LINES_PER_PAGE)).alias("value")
+    )
+    last_page = F.floor((F.size(lines) - 1) / LINES_PER_PAGE).cast("int")
+    by_page = F.map_from_entries(F.transform(F.sequence(F.lit(0), last_page), page))
+    paging = F.struct(F.size(lines).cast("int").alias("totalItems"), by_page.alias("byPage"))
     products = F.struct(
         F.map_from_entries(F.transform(lines, entry)).alias("reviewsById"),
         F.create_map(F.col("doc_id").cast("string"), detail).alias("detailsByPid"),

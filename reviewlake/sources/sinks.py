@@ -40,17 +40,28 @@ def write_files(df: DataFrame, path: str, partition_by: str | list[str] | None =
     return path
 
 
-def write_documents(df: DataFrame, path: str, batch_size: int = DOCUMENT_BATCH) -> str:
-    """Write rows as JSON documents, at most ``batch_size`` per file."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", batch_size).option("ignoreNullFields", "false").json(path)
+def write_documents(df: DataFrame, path: str, batch_size: int | None = None) -> str:
+    """Write rows as JSON documents, in files of the size that rebalancing gives them.
+
+    ``batch_size`` limits the documents per file, for receivers that take one file per upload; it makes
+    very many files of a large table. ``batch_ids`` numbers batches as a column instead.
+    """
+    writer = df.hint("rebalance").write if batch_size is None else df.write.option("maxRecordsPerFile", batch_size)
+    writer.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path
 
 
-def write_named(df: DataFrame, path: str, name: str, content: str | Column) -> str:
-    """Write text under one directory per value of ``name``, the file name of a page."""
+def write_named(df: DataFrame, path: str, name: str, content: str | Column, directories: bool = False) -> str:
+    """Write each page's text beside its file name, as (name, value) rows in files of ordinary size.
+
+    ``directories`` writes one directory per name instead, which suits few pages only.
+    """
     body = F.col(content) if isinstance(content, str) else content
     rows = df.select(F.col(name).alias("name"), body.alias("value"))
-    _laid_out(rows, "name").write.mode("overwrite").partitionBy("name").text(path)
+    if directories:
+        _laid_out(rows, "name").write.mode("overwrite").partitionBy("name").text(path)
+    else:
+        rows.hint("rebalance").write.mode("overwrite").parquet(path)
     return path
 
 

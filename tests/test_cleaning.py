@@ -51,7 +51,7 @@ def test_document_limit_counts_documents(spark, tmp_path):
 def test_dedup_prefers_the_row_with_text(spark):
     rows = spark.createDataFrame([(1, None, "t"), (1, "good", "t"), (2, "b", "t"), (None, "n", "t"), (None, "m", "t")], "id int, text string, title string")
     kept = cleaning.clean_reviews(rows).collect()
-    assert {(r["id"], r["text"]) for r in kept} == {(1, "good"), (2, "b"), (None, "m")}
+    assert {(r["id"], r["text"]) for r in kept} == {(1, "good"), (2, "b"), (None, "m"), (None, "n")}
     first = cleaning.clean_reviews(rows, order="reference").collect()
     assert {r["id"] for r in first} == {2, None}
     with pytest.raises(ValueError):
@@ -131,6 +131,17 @@ def test_stage_tables_are_replaced_with_their_schema(spark):
     assert read_stage(spark, "raw", target).columns == ["id", "score"]
 
 
+def test_ids_that_are_no_numbers_become_rejects(spark):
+    ids = ["1", "1", str(2**40), "x7", None, "x7", "-5"]
+    rows = spark.createDataFrame([(i, "7", "t", "u") for i in ids], "id string, product_id string, text string, title string")
+    clean = cleaning.clean_reviews(cleaning.normalise_ids(cleaning.numbered_ids(rows)))
+    rejected = cleaning.rejected_ids(rows)
+    assert sorted(r["id"] for r in clean.collect()) == [-5, 1, 2**40]
+    assert sorted(r["reason"] for r in rejected.collect()) == ["id is no number", "id is no number", "no id"]
+    copies = 1
+    assert rows.count() == clean.count() + copies + rejected.count()
+
+
 def test_files_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([(i, "b" if i % 3 else "a") for i in range(20)], "id int, brand_name string")
     path = write_files(rows, str(tmp_path / "out"), partition_by="brand_name")
@@ -148,7 +159,9 @@ def test_documents_round_trip(spark, tmp_path):
 
 def test_named_pages(spark, tmp_path):
     rows = spark.createDataFrame([("a.json", "{1}"), ("b.json", "{2}")], "name string, json string")
-    path = write_named(rows, str(tmp_path / "named"), "name", "json")
+    path = write_named(rows, str(tmp_path / "flat"), "name", "json")
+    assert {(r["name"], r["value"]) for r in spark.read.parquet(path).collect()} == {("a.json", "{1}"), ("b.json", "{2}")}
+    path = write_named(rows, str(tmp_path / "named"), "name", "json", directories=True)
     assert (tmp_path / "named" / "name=a.json").is_dir()
     assert {r["value"] for r in spark.read.text(path).collect()} == {"{1}", "{2}"}
 
