@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -923,6 +925,23 @@ def roundtrip_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "brand_name", F.md5(F.col("text").cast("binary")).alias("text_hash"))
 
 
+@query(
+    """
+SELECT doc_id, nullif(lower(source), '') AS brand_name, md5(text) AS text_hash, TIMESTAMP '2024-05-01 12:00:00' AS last_modified FROM documents
+"""
+)
+def stage_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage written plain, overwritten with another layout, and read back by its name with its time stamp."""
+    target = settings("PROD", prefix=f"flow_{uuid.uuid4().hex[:12]}")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", tx.brand_key("source").alias("brand_name"))
+    stamped = cleaning.stamp(rows, dt.datetime(2024, 5, 1, 12)).withColumnRenamed("lastModified", "last_modified")
+    sinks.write_stage(rows, "raw", target)
+    sinks.write_stage(stamped, "raw", target, partition_by="brand_name")
+    back = docs_io.read_stage(spark, "raw", target)
+    hashed = F.md5(F.col("text").cast("binary")).alias("text_hash")
+    return back.select("doc_id", "brand_name", hashed, F.col("last_modified").cast("timestamp_ntz").alias("last_modified"))
+
+
 @query(f"WITH {REVIEWS}, {SPLIT} SELECT id, train_test, positive_review FROM gold")
 def roundtrip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = split.binary_label(split.stratified(_reviews(spark, sf_dir)))
@@ -1034,6 +1053,22 @@ def undersample_not_minority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balance.undersample(labels, "quality", "doc_id", "not minority", replacement=True, seed=7)
 
 
+@query(
+    """
+WITH ranked AS (
+  SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(o_orderkey || ':7'), o_orderkey) AS rn FROM orders),
+sizes AS (
+  SELECT o_orderstatus, count(*) AS n_c, min(count(*)) OVER () AS m,
+         row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) AS big FROM orders GROUP BY o_orderstatus)
+SELECT o_orderkey, o_orderstatus, CAST(1 AS BIGINT) AS multiplicity
+FROM ranked JOIN sizes USING (o_orderstatus) WHERE big = 1 OR rn <= m
+"""
+)
+def undersample_not_majority_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return balance.undersample(orders, "o_orderstatus", "o_orderkey", "not majority", replacement=False, seed=7)
+
+
 @query(
     """
 WITH ranked AS (
@@ -1116,6 +1151,11 @@ trials AS (
   SELECT trial_id,
          10 + 10 * (CAST('0x' || substr(md5('3:n_estimators:' || trial_id), 1, 15) AS BIGINT) % 50) AS n_estimators,
          1 + (CAST('0x' || substr(md5('3:min_samples_leaf:' || trial_id), 1, 15) AS BIGINT) % 10) AS min_samples_leaf,
+         (['sqrt', 'log2'])[CAST('0x' || substr(md5('3:max_features:' || trial_id), 1, 15) AS BIGINT) % 2 + 1] AS max_features,
+         ([true, false])[CAST('0x' || substr(md5('3:bootstrap:' || trial_id), 1, 15) AS BIGINT) % 2 + 1] AS bootstrap,
+         ([true, false])[CAST('0x' || substr(md5('3:replacement:' || trial_id), 1, 15) AS BIGINT) % 2 + 1] AS replacement,
+         (['majority', 'not minority', 'not majority', 'all'])[CAST('0x' || substr(md5('3:sampling_strategy:' || trial_id), 1, 15) AS BIGINT) % 4 + 1]
+           AS sampling_strategy,
          (['gini', 'entropy'])[CAST('0x' || substr(md5('3:criterion:' || trial_id), 1, 15) AS BIGINT) % 2 + 1] AS criterion
   FROM ids)
 """
@@ -1128,7 +1168,7 @@ def _scored_random(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trial_id",
         F.col("n_estimators").cast("bigint").alias("n_estimators"),
         F.col("min_samples_leaf").cast("bigint").alias("min_samples_leaf"),
-        "criterion",
+        "max_features", "bootstrap", "replacement", "sampling_strategy", "criterion",
         F.round("score", 6).alias("score"),
     )
 
