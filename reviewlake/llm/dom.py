@@ -100,7 +100,7 @@ def parse(page: str | None) -> list[Node]:
             raw = token["raw"].lower()
             stop = re.compile(rf"</{raw}\s*>", re.I).search(page, at)
             at = stop.end() if stop else (end if raw != "head" else at)
-            if raw not in ("svg", "math"):
+            if raw in ("iframe", "object", "textarea", "head"):
                 flush()
             continue
         name = (token["name"] or token["name2"] or "").lower()

@@ -39,9 +39,9 @@ NOISE = re.compile(
 SUBJECT = re.compile(r"\b(article|content|post|entry|story|main|body|text)\b")
 #: Prior counts (content, boilerplate, mixed) of a node's features.
 PRIOR = {
-    "tag:nav": (0.02, 200, 1), "tag:header": (1, 40, 2), "tag:footer": (0.02, 200, 1), "tag:aside": (0.05, 200, 1),
-    "tag:form": (0.05, 200, 1), "tag:button": (0.05, 100, 0.1), "tag:select": (0.05, 100, 0.1), "tag:menu": (0.05, 100, 0.1),
-    "tag:dialog": (0.05, 100, 0.1), "tag:fieldset": (0.05, 100, 0.1), "hint:noise": (0.2, 400, 2), "hint:subject": (60, 2, 60),
+    "tag:nav": (0.02, 200, 0.02), "tag:header": (1, 40, 0.5), "tag:footer": (0.02, 200, 0.02), "tag:aside": (0.05, 200, 0.02),
+    "tag:form": (0.05, 200, 0.02), "tag:button": (0.05, 100, 0.02), "tag:select": (0.05, 100, 0.02), "tag:menu": (0.05, 100, 0.1),
+    "tag:dialog": (0.05, 100, 0.02), "tag:fieldset": (0.05, 100, 0.02), "hint:noise": (0.2, 400, 0.1), "hint:subject": (60, 2, 60),
     "tag:article": (60, 2, 40), "tag:main": (60, 2, 60), "leaf:p": (60, 20, 0), "leaf:li": (20, 40, 0), "leaf:head": (30, 15, 0),
     "links:most": (2, 80, 0), "links:none": (100, 40, 0), "words:20": (40, 10, 0), "words:80": (60, 2, 0), "stop:yes": (80, 20, 0),
     "stop:no": (20, 60, 0), "legal:yes": (0.2, 60, 0),
@@ -49,7 +49,9 @@ PRIOR = {
 #: Prior counts of (parent state -> child state), over content, boilerplate, mixed.
 PRIOR_EDGES = ((60, 1.5, 1.5), (0.3, 100, 0.6), (30, 30, 20))
 #: No trained table may make a child's state more certain than this, so strong marks can still win.
-MOST_CERTAIN = 0.985
+MOST_CERTAIN = 0.995
+#: What a block's own text says is several views of one thing, so each view counts in part.
+TEXT_WEIGHT = 0.3
 LEGAL = re.compile(r"©|\bcopyright\b|all rights reserved", re.I)
 HEADS = set("h1 h2 h3 h4 h5 h6".split())
 
@@ -58,7 +60,7 @@ def node_features(nodes: list[Node], i: int) -> list[str]:
     """Names of what a node shows by itself."""
     node = nodes[i]
     if node.text is None:
-        found = [f"tag:{node.tag}"]
+        found = [f"tag:{node.tag}"] if node.tag in MARKS or node.tag in ASIDE else []  # a div or p alone says nothing
         if node.hint:
             found.append("hint:noise" if NOISE.search(node.hint) else "hint:subject" if SUBJECT.search(node.hint) else "hint:other")
         return found
@@ -108,14 +110,14 @@ class TreeModel:
         self.own = {}
         for feature in names:
             both = [a + b for a, b in zip(PRIOR.get(feature, none), counts.get(feature, none))]
-            logs = [math.log((c + 1.0) / t) for c, t in zip(both, totals)]
+            logs = [math.log((c + 0.05) / t) for c, t in zip(both, totals)]
             middle = sum(logs) / 3
             self.own[feature] = [max(-5.0, min(5.0, v - middle)) for v in logs]
         self.edge = []
         for parent in range(3):
             row = [a + b for a, b in zip(PRIOR_EDGES[parent], counts.get(f"edge:{parent}", (0, 0, 0)))]
             row = [max(c, 1e-3) / sum(row) for c in row]
-            row = [min(p, MOST_CERTAIN) for p in row]
+            row = [max(p, (1 - MOST_CERTAIN) / 2) for p in row]
             row = [p / sum(row) for p in row]
             self.edge.append(row)
 
@@ -126,7 +128,8 @@ class TreeModel:
             score = [0.0, 0.0, 0.0 if node.text is None else -60.0]
             for feature in node_features(nodes, i) if i else ():
                 if found := self.own.get(feature):
-                    score = [a + b for a, b in zip(score, found)]
+                    weight = 1.0 if node.text is None else TEXT_WEIGHT
+                    score = [a + weight * b for a, b in zip(score, found)]
             top = max(score)
             own.append([math.exp(s - top) for s in score])
         edge = self.edge

@@ -73,7 +73,8 @@ def test_messages_give_exact_marginals():
     for i, node in enumerate(nodes):
         score = [0.0, 0.0, 0.0 if node.text is None else -60.0]
         for feature in html_tree.node_features(nodes, i) if i else ():
-            score = [a + b for a, b in zip(score, model.own.get(feature, (0, 0, 0)))]
+            weight = 1 if node.text is None else html_tree.TEXT_WEIGHT
+            score = [a + weight * b for a, b in zip(score, model.own.get(feature, (0, 0, 0)))]
         own.append([math.exp(s - max(score)) for s in score])
     total, content = 0.0, [0.0] * len(nodes)
     for states in np.ndindex(*(3,) * len(nodes)):
