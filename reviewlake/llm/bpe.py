@@ -76,12 +76,24 @@ def _by_rank(index: dict[int, list[np.ndarray]], heap: list[int], rank: np.ndarr
             heapq.heappush(heap, r)
 
 
+def _alone(word: bytes, ranks: Ranks) -> np.ndarray:
+    """Ids of one word: again and again its pair of the smallest rank, the first from the left."""
+    ids = ranks.of_byte[np.frombuffer(word, np.uint8)]
+    while len(ids) > 1:
+        found = ranks.of_pairs(ids[:-1], ids[1:])
+        at = int(found.argmin())
+        if found[at] == NEVER:
+            break
+        ids = np.concatenate((ids[:at], found[at : at + 1], ids[at + 2 :]))
+    return ids.astype(np.uint32)
+
+
 def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words in one array, and their number per word.
 
     The smallest rank in the index is always the next, as each word by itself would choose; equal ranks in
-    one word are taken from the left. A pair that appears with a smaller rank than the last one is
-    simply the next.
+    one word are taken from the left. Vocabularies of ranks may let a merge make a pair of a smaller rank,
+    which a word by itself would take before its other places; such words, if any, are encoded singly.
     """
     sizes = np.array([len(w) for w in words], np.int64)
     symbol = ranks.of_byte[np.frombuffer(b"".join(words), np.uint8)]
@@ -101,6 +113,7 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
 
     index: dict[int, list[np.ndarray]] = {}
     heap: list[int] = []
+    early: list[np.ndarray] = []
     live = np.flatnonzero(pair != NEVER)
     if len(live):
         _by_rank(index, heap, pair[live], live)
@@ -120,6 +133,10 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
             place = place[(at - np.maximum.accumulate(np.where(run_start, at, 0))) % 2 == 0]
             right = after[place]
         following = after[right]
+        chained = np.flatnonzero(following[:-1] == place[1:])
+        if len(chained):  # between two merges side by side the first meets the second's left symbol
+            middle = ranks.of_pairs(np.full(len(chained), rank, np.int32), symbol[following[chained]])
+            early.append(place[chained[middle < rank]])
         symbol[place] = rank
         after[place] = following
         alive[right] = False
@@ -134,12 +151,21 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
         if len(touched):
             found = ranks.of_pairs(symbol[touched], symbol[after[touched]])
             pair[touched] = found
+            if (found < rank).any():
+                early.append(touched[found < rank])
             new = found != NEVER
             if new.any():
                 _by_rank(index, heap, found[new], touched[new])
     kept = np.flatnonzero(alive)
     owner = np.searchsorted(ends, kept, side="right")
-    return symbol[kept].astype(np.uint32), np.bincount(owner, minlength=len(words)).astype(np.int64)
+    flat, counts = symbol[kept].astype(np.uint32), np.bincount(owner, minlength=len(words)).astype(np.int64)
+    singly = np.unique(np.searchsorted(ends, np.concatenate(early), side="right")) if early else []
+    if len(singly):
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        for i in singly:
+            parts[i] = _alone(words[i], ranks)
+        flat, counts = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+    return flat, counts
 
 
 @lru_cache(maxsize=2)
