@@ -136,7 +136,11 @@ def judge(documents: DataFrame, candidates: list[Rule] | None = None) -> DataFra
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """Rows whose verdict is to keep them, with the columns of ``documents``."""
-    return judge(documents).where("kept").select(*(F.col(f"`{c}`") for c in documents.columns))
+    # the optimizer would push the verdict below the columns it is made of, and split a text again for each of its words;
+    # it does not move a filter below a column that depends on the task
+    judged = judge(documents).withColumn("_task", F.spark_partition_id())
+    kept = judged.where(F.col("kept") & (F.col("_task") >= 0))
+    return kept.select(*(F.col(f"`{c}`") for c in documents.columns))
 
 
 _SQL_WORDS = rf"regexp_extract_all(coalesce(text, ''), '{WORD}')"
