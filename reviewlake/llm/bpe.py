@@ -24,7 +24,9 @@ from reviewlake.llm.pretokens import ChunkIds, chunk_text
 from reviewlake.llm.texts import ship_package, slices, text_column
 
 #: Text of one corpus block.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 10 << 20
+#: Chunks a worker remembers between blocks.
+REMEMBERED = 200_000
 NEVER = np.int32(2**31 - 1)
 
 
@@ -101,8 +103,8 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     if not total:
         return np.zeros(0, np.uint32), sizes
     ends = np.cumsum(sizes)
-    after = np.arange(1, total + 1)
-    before = np.arange(-1, total - 1)
+    after = np.arange(1, total + 1, dtype=np.int32)
+    before = np.arange(-1, total - 1, dtype=np.int32)
     filled = sizes > 0
     after[ends[filled] - 1] = total
     before[(ends - sizes)[filled]] = -1
@@ -114,7 +116,7 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     index: dict[int, list[np.ndarray]] = {}
     heap: list[int] = []
     early: list[np.ndarray] = []
-    live = np.flatnonzero(pair != NEVER)
+    live = np.flatnonzero(pair != NEVER).astype(np.int32)
     if len(live):
         _by_rank(index, heap, pair[live], live)
     while heap:
@@ -190,7 +192,7 @@ def corpus_encoder(ranks_path: str, pattern: str) -> ChunkIds:
         chunk_of = np.repeat(np.arange(len(keys)), per_chunk)
         return ids, np.bincount(chunk_of, weights=length, minlength=len(keys)).astype(np.int64)
 
-    return ChunkIds(encode)
+    return ChunkIds(encode, REMEMBERED)
 
 
 def encoded(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str, block_bytes: int = BLOCK_BYTES):

@@ -45,11 +45,11 @@ class ChunkIds:
     """Ids of chunks, each encoded once; ``encode`` turns a list of keys into flat ids and their counts.
 
     Keys with a mark come first in the list that ``encode`` gets. The table starts anew above
-    ``REMEMBERED`` chunks or the ids of very long whole texts, so it stays bounded.
+    ``remembered`` chunks or the ids of very long whole texts, so it stays bounded.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self._encode = encode
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], remembered: int = REMEMBERED):
+        self._encode, self._remembered = encode, remembered
         self._reset()
 
     def _reset(self) -> None:
@@ -60,7 +60,7 @@ class ChunkIds:
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text. The new chunks of all texts are encoded in one call before the first comes back."""
-        if len(self._known) > REMEMBERED or len(self._flat) > 20 * REMEMBERED:
+        if len(self._known) > self._remembered or len(self._flat) > 20 * self._remembered:
             self._reset()
         number = self._known.__getitem__
         rows = []
