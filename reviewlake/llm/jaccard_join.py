@@ -4,8 +4,8 @@ Two ideas carry the join. Lists of an inverted index are cut into blocks of one
 the position of the shingle in its set, so that the size bound skips whole blocks and the position bound
 skips the rest of a block. And sets that are equal or highly similar to one already answered get
 their answer from it: equal sets are one class; in a long list every class is first compared with the few
-most central ones, and what these connect needs no further comparison, nor do pairs for which the
-overlaps with one of them already prove that they cannot be similar.
+most central ones, and pairs for which the overlaps with one of them already prove that they cannot be
+similar need no comparison. All others are compared: the links are those of the whole join.
 
 Order of shingles, the same in all sets: shingles of a fixed low part of the hash space by hash,
 frequent ones of that part behind them, then all others by hash. Every shingle that can reach a prefix is
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reviewlake.llm.components import components
 from reviewlake.llm.texts import long_column, shingle_sets, ship_package, slices, small_join, text_column
-from reviewlake.operators.placement import stage
+from reviewlake.operators.placement import fits_broadcast, stage
 
 #: Part of the hash space whose shingles are counted and come first.
 LOW_PART = 0.25
@@ -31,6 +31,10 @@ LOW_PART = 0.25
 LONG_LIST, MOST_FREQUENT = 32, 500_000
 #: Sets that each long list is compared with first.
 LEADERS = 2
+#: Classes of a long list that one cell of it takes at most, about; a cell meets every other one of its list.
+CELL = 256
+#: Bytes of sets at most that every task is told.
+TOLD_BYTES = 64 << 20
 #: Classes a task remembers in order not to send a copy's shingles again.
 REMEMBERED = 500_000
 
@@ -132,7 +136,7 @@ def _list_pairs(cls, size, pos, percent, other=None):
 
     A block holds the entries of one size in order of position. For an entry, blocks beyond the size
     bound are skipped whole, and inside a block all behind the last position that still allows the
-    overlap. ``other``: components; pairs inside one are left out.
+    overlap. ``other``: cells; pairs inside one are left out, unless it is negative.
     """
     left, right = [], []
     starts = np.flatnonzero(np.r_[True, size[1:] != size[:-1]])
@@ -153,7 +157,7 @@ def _list_pairs(cls, size, pos, percent, other=None):
                 js = np.arange(max(starts[block], i + 1) if block == own else starts[block], stop)
                 js = js[cls[js] != cls[i]]
                 if other is not None:
-                    js = js[other[js] != other[i]]
+                    js = js[(other[js] != other[i]) | (other[js] < 0)]
                 left.append(np.full(len(js), i))
                 right.append(js)
     if not left:
@@ -161,7 +165,7 @@ def _list_pairs(cls, size, pos, percent, other=None):
     return np.concatenate(left), np.concatenate(right)
 
 
-def _short_pairs(data, percent, by_component):
+def _short_pairs(data, percent, in_cells):
     """The same pairs for many short lists at once: entry i meets the entries behind it, step by step.
 
     Entries are sorted by list, size, position, so an entry stops at its list's end or its size bound.
@@ -178,8 +182,8 @@ def _short_pairs(data, percent, by_component):
         n, m = size[at].astype(np.int64), size[other].astype(np.int64)
         need = -(-percent * (n + m) // (100 + percent))
         good = (n - pos[at] >= need) & (m - pos[other] >= need) & (cls[at] != cls[other])
-        if by_component:
-            good &= data[4][at] != data[4][other]
+        if in_cells:
+            good &= (data[4][at] != data[4][other]) | (data[4][at] < 0)
         left.append(at[good])
         right.append(other[good])
     return (np.concatenate(left), np.concatenate(right)) if left else (at, at)
@@ -193,15 +197,15 @@ def _pair_batch(cls, size, left, right) -> pa.RecordBatch:
     )
 
 
-def _pairs_of_lists(percent: int, by_component: bool):
+def _pairs_of_lists(percent: int, in_cells: bool):
     """Kernel over entries sorted by shingle, size, position: the pairs of each list; one open list is carried over."""
-    names = ["shingle", "cls", "size", "pos", *(["component"] if by_component else [])]
+    names = ["shingle", "cls", "size", "pos", *(["side"] if in_cells else [])]
 
     def emit(data):
         bounds = np.flatnonzero(np.r_[True, data[0][1:] != data[0][:-1], True])
         lengths = np.diff(bounds)
         short = np.repeat((lengths > 1) & (lengths <= LONG_LIST), lengths)
-        left, right = _short_pairs([x[short] for x in data], percent, by_component)
+        left, right = _short_pairs([x[short] for x in data], percent, in_cells)
         cls, size = data[1][short], data[2][short]
         if len(left):
             yield _pair_batch(cls, size, left, right)
@@ -209,7 +213,7 @@ def _pairs_of_lists(percent: int, by_component: bool):
             part = [x[bounds[k] : bounds[k + 1]] for x in data]
             fresh = np.r_[True, (part[1][1:] != part[1][:-1]) | (part[2][1:] != part[2][:-1])]
             part = [x[fresh] for x in part]
-            left, right = _list_pairs(part[1], part[2], part[3], percent, part[4] if by_component else None)
+            left, right = _list_pairs(part[1], part[2], part[3], percent, part[4] if in_cells else None)
             if len(left):
                 yield _pair_batch(part[1], part[2], left, right)
 
@@ -246,6 +250,26 @@ def _sets(n: int):
     return run
 
 
+def _shared(left: bytes, right: bytes) -> int:
+    both = np.concatenate((np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)))
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _overlaps_of_told(told):
+    """Overlaps of pairs whose sets every task knows: {(cls, size): members}."""
+    schema = _PAIRS.append(pa.field("overlap", pa.int32()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = told.value
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(name)) for name in _PAIRS.names]
+            shared = [_shared(known[a, n], known[b, m]) for a, n, b, m in zip(*(column.to_pylist() for column in columns))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(shared, pa.int32())], schema=schema)
+
+    return run
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = _PAIRS.append(pa.field("overlap", pa.int32()))
     for batch in batches:
@@ -253,17 +277,16 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column(batch.schema.get_field_index("a_members")).to_pylist(),
             batch.column(batch.schema.get_field_index("b_members")).to_pylist(),
         )
-        shared = []
-        for left, right in pairs:
-            both = np.concatenate((np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)))
-            both.sort(kind="stable")
-            shared.append(int((both[1:] == both[:-1]).sum()))
+        shared = [_shared(left, right) for left, right in pairs]
         columns = [batch.column(batch.schema.get_field_index(name)) for name in _PAIRS.names]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(shared, pa.int32())], schema=schema)
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, documents: DataFrame, n: int, label: str) -> DataFrame:
-    """Exact overlap of each pair, from the whole texts of one document per class."""
+def _verify(pairs: DataFrame, classes: DataFrame, documents: DataFrame, n: int, label: str, many_pairs: bool = False) -> DataFrame:
+    """Exact overlap of each pair, from the whole texts of one document per class.
+
+    ``many_pairs``: sets that are few for their pairs are told to every task, if they fit, so that no set is moved once per pair.
+    """
     sides = pairs.select(F.col("a_cls").alias("cls"), F.col("a_size").alias("size")).unionByName(
         pairs.select(F.col("b_cls").alias("cls"), F.col("b_size").alias("size"))
     )
@@ -274,6 +297,11 @@ def _verify(pairs: DataFrame, classes: DataFrame, documents: DataFrame, n: int,
     sets = stage(sets, f"{label}_sets")
     if sets.count() > wanted.count():  # repeated ids
         sets = stage(sets.dropDuplicates(["cls", "size"]), f"{label}_single_sets")
+    if many_pairs and fits_broadcast(sets, TOLD_BYTES):
+        table = sets.toArrow()
+        keys = zip(table.column("cls").to_pylist(), table.column("size").to_pylist())
+        told = dict(zip(keys, table.column("members").to_pylist()))
+        return stage(pairs.mapInArrow(_overlaps_of_told(sets.sparkSession.sparkContext.broadcast(told)), PAIRS + ", overlap int"), f"{label}_overlaps")
     a, b = (sets.select(*(F.col(c).alias(f"{side}_{c}") for c in ("cls", "size", "members"))) for side in "ab")
     both = pairs.join(a, ["a_cls", "a_size"]).join(b, ["b_cls", "b_size"])
     columns = [*_PAIRS.names, "a_members", "b_members"]
@@ -319,10 +347,25 @@ def _entries(made: DataFrame, percent: int, low_part: float, label: str) -> tupl
     return entries.where("NOT frequent").drop("frequent"), long_lists
 
 
-def _pairs_in_lists(entries: DataFrame, percent: int, by_component: bool) -> DataFrame:
-    columns = ["shingle", "cls", "size", "pos", *(["component"] if by_component else [])]
+def _cells(long_lists: DataFrame) -> DataFrame:
+    """Long lists as cells of bounded size, one for each two parts of a list: (shingle, cls, size, pos, side).
+
+    ``shingle`` names the cell; ``side`` is the part, or -1 where a part meets itself. Each two classes of
+    a list meet in exactly one cell, so that no task gets all pairs of one list.
+    """
+    parts = long_lists.groupBy("shingle").agg(F.ceil(F.count("*") / F.lit(CELL)).cast("int").alias("parts"))
+    dealt = small_join(long_lists, stage(parts, "list_parts"), ["shingle"], "inner")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("cls", "size"), F.col("parts")).cast("int"))
+    met = dealt.withColumn("with", F.explode(F.expr("sequence(0, parts - 1)")))
+    cell = F.xxhash64("shingle", F.least("part", "with"), F.greatest("part", "with"))
+    side = F.when(F.col("part") == F.col("with"), -1).otherwise(F.col("part"))
+    return met.select(cell.alias("shingle"), "cls", "size", "pos", side.alias("side"))
+
+
+def _pairs_in_lists(entries: DataFrame, percent: int, in_cells: bool) -> DataFrame:
+    columns = ["shingle", "cls", "size", "pos", *(["side"] if in_cells else [])]
     sorted_lists = entries.select(*columns).repartition("shingle").sortWithinPartitions("shingle", "size", "pos", "cls")
-    return sorted_lists.mapInArrow(_pairs_of_lists(percent, by_component), PAIRS)
+    return sorted_lists.mapInArrow(_pairs_of_lists(percent, in_cells), PAIRS)
 
 
 def link_classes(documents: DataFrame, percent: int = 85, n: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -330,14 +373,14 @@ def link_classes(documents: DataFrame, percent: int = 85, n: int = 4) -> tuple[D
 
     ``documents`` has doc_id and text. Rows without doc_id or words take no part. Results:
     (doc_id, n_shingles, cls), one row per document; (cls, size, rep, copies), one row per distinct set;
-    (a_cls, a_size, b_cls, b_size, overlap), links that connect exactly the sets that all similar pairs
-    connect. A class is known by 64 bits of its set's hash and the set's size.
+    (a_cls, a_size, b_cls, b_size, overlap), every similar pair of classes once. A class is known by 64
+    bits of its set's hash and the set's size; documents of one class are similar without a link.
 
     First pass: all sets, short lists. A similar pair whose first common shingle has a long list has both
     its sets among the few that enter long lists. Second pass: these sets alone, with all their
     shingles counted, so that what a set has for itself comes first and its place in a long list tells
-    how far it is from the others. Long lists then meet their most central sets, and what that leaves
-    unconnected is compared pair by pair.
+    how far it is from the others. Long lists then meet their most central sets, and all pairs that the
+    overlaps with these do not exclude are compared.
     """
     ship_package(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -351,17 +394,18 @@ def link_classes(documents: DataFrame, percent: int = 85, n: int = 4) -> tuple[D
     similar = F.expr(f"100 * overlap >= {percent} * (a_size + b_size - overlap)")
     short, long_lists = _entries(made, percent, LOW_PART, "all")
     near = stage(_pairs_in_lists(short, percent, False).distinct(), "candidates")
-    links = _verify(near, classes, texts, n, "first").where(similar)
+    first = _verify(near, classes, texts, n, "first")
+    links = first.where(similar)
     if not long_lists.isEmpty():
         members = long_lists.select("cls", "size").distinct()
         ids = stage(classes.join(members, ["cls", "size"], "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "frequented")
         again = small_join(texts, ids, ["doc_id"], "left_semi")
-        links = links.unionByName(_link_long_lists(again, classes, texts, near, links, percent, n, similar))
+        links = links.unionByName(_link_long_lists(again, classes, texts, first, percent, n, similar))
     return made.select("doc_id", "n_shingles", "cls"), classes, links
 
 
-def _link_long_lists(again, classes, texts, near, links, percent, n, similar) -> DataFrame:
-    """Links of the second pass, over the texts ``again`` whose sets enter long lists."""
+def _link_long_lists(again, classes, texts, first, percent, n, similar) -> DataFrame:
+    """Links of the second pass, over the texts ``again`` whose sets enter long lists, without pairs of ``first``."""
     made = _fingerprints(again, percent, n, 1.0, "again")
     short, long_lists = _entries(made, percent, 1.0, "again")
     central = [F.min(F.struct("pos", F.xxhash64("cls", F.lit(k)).alias("h"), "cls", "size")).alias(f"l{k}") for k in range(LEADERS)]
@@ -373,21 +417,25 @@ def _link_long_lists(again, classes, texts, near, links, percent, n, similar) ->
     stars = stars.where(fits & (F.col("cls") != F.col("leader.cls"))).select(
         F.col("leader.cls").alias("a_cls"), F.col("leader.size").alias("a_size"), F.col("cls").alias("b_cls"), F.col("size").alias("b_size")
     )
-    fresh = _pairs_in_lists(short, percent, False).unionByName(stars).distinct().join(near, _PAIRS.names, "left_anti")
-    fresh = stage(fresh, "star_candidates")
-    found = _verify(fresh, classes, texts, n, "stars")
+    stars = stage(stars.distinct(), "stars")
+    fresh = _pairs_in_lists(short, percent, False).unionByName(_ordered(stars)).distinct().join(first, _PAIRS.names, "left_anti")
+    found = _verify(stage(fresh, "star_candidates"), classes, texts, n, "stars")
     close = found.where(similar)
 
-    grouped = _class_components(links.unionByName(close), classes)
-    alone = F.xxhash64("cls", "size")
-    marked = small_join(long_lists, grouped, ["cls", "size"], "left")
-    marked = stage(marked.withColumn("component", F.coalesce("component", alone)), "marked")
-    split = marked.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    open_lists = small_join(marked, stage(split.select("shingle"), "open_lists"), ["shingle"], "left_semi")
-    rest = _pairs_in_lists(open_lists, percent, True).distinct()
-    rest = stage(rest.join(fresh, _PAIRS.names, "left_anti").join(near, _PAIRS.names, "left_anti"), "rest_candidates")
-    rest = _skip_by_leader(rest, found, percent)
-    return close.unionByName(_verify(rest, classes, texts, n, "rest").where(similar))
+    tried = first.unionByName(found)
+    both_ways = tried.unionByName(tried.selectExpr("b_cls AS a_cls", "b_size AS a_size", "a_cls AS b_cls", "a_size AS b_size", "overlap"))
+    known = both_ways.join(stars, _PAIRS.names, "left_semi")
+    rest = _pairs_in_lists(_cells(long_lists), percent, True).distinct()
+    rest = stage(rest.join(tried, _PAIRS.names, "left_anti"), "rest_candidates")
+    rest = _skip_by_leader(rest, known, percent)
+    return close.unionByName(_verify(rest, classes, texts, n, "rest", many_pairs=True).where(similar))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Pairs of classes with the smaller class first, as lists give them."""
+    swap = F.col("a_cls") > F.col("b_cls")
+    ends = [(f"{x}_{c}", f"{y}_{c}") for x, y in ("ab", "ba") for c in ("cls", "size")]
+    return pairs.select(*(F.when(swap, F.col(other)).otherwise(F.col(own)).alias(own) for own, other in ends))
 
 
 def _class_components(links: DataFrame, classes: DataFrame, more: DataFrame | None = None) -> DataFrame:
@@ -419,6 +467,26 @@ def _skip_by_leader(pairs: DataFrame, known: DataFrame, percent: int) -> DataFra
     return stage(both.where(~F.coalesce(hopeless, F.lit(False))).select(*_PAIRS.names), "kept_candidates")
 
 
+def link_counts(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
+    """(doc_id, n_shingles, n_links): to how many other rows of ``documents`` the row is similar, copies included.
+
+    One row per row of ``documents``. Rows without doc_id or words take no part and have no links.
+    """
+    found, classes, links = link_classes(documents, percent, n)
+    ends = [
+        links.select(F.col(f"{x}_cls").alias("own"), F.col(f"{x}_size").alias("own_size"), F.col(f"{y}_cls").alias("cls"), F.col(f"{y}_size").alias("size"))
+        for x, y in ("ab", "ba")
+    ]
+    partners = small_join(ends[0].unionByName(ends[1]), classes.select("cls", "size", "copies"), ["cls", "size"], "inner")
+    summed = partners.groupBy(F.col("own").alias("cls"), F.col("own_size").alias("size")).agg(F.sum("copies").alias("others"))
+    counted = classes.join(summed, ["cls", "size"], "left").select(
+        "cls", F.col("size").cast("long").alias("n_shingles"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n")
+    )
+    counted = stage(counted.where("n > 0"), "link_counts")
+    own = F.when(F.col("doc_id").isNotNull(), F.col("n"))
+    return small_join(found, counted, ["cls", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce(own, F.lit(0)).alias("n_links"))
+
+
 def _several_texts(found: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b): each doc_id that occurs with several sets, and the representatives of these."""
     rows = found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "cls", F.col("n_shingles").cast("int").alias("size"))

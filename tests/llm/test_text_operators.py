@@ -96,6 +96,25 @@ def test_jaccard_many_near_copies(spark):
     assert Counter(map(tuple, found.collect())) == _brute_components(made, 85, 4)
 
 
+def _brute_links(rows, percent, n):
+    sets = [(r[0], _shingles(r[1], n)) for r in rows]
+    similar = lambda x, y: 100 * len(x & y) >= percent * len(x | y)
+    return Counter(
+        (d, len(s), 0 if d is None or not s else sum(e is not None and j != i and bool(z) and similar(s, z) for j, (e, z) in enumerate(sets)))
+        for i, (d, s) in enumerate(sets)
+    )
+
+
+def test_links_inside_components_are_all_found(spark, docs, rows):
+    rng = random.Random(9)
+    bases = [[rng.choice(WORDS) for _ in range(70)] for _ in range(2)]
+    made = [(i, " ".join(_mutated(rng, bases[i % 2], rng.randrange(6)))) for i in range(600)]
+    found = jaccard_join.link_counts(spark.createDataFrame(made, "doc_id long, text string").repartition(3), 85, 4)
+    assert found.columns == ["doc_id", "n_shingles", "n_links"]
+    assert Counter(map(tuple, found.collect())) == _brute_links(made, 85, 4)
+    assert Counter(map(tuple, jaccard_join.link_counts(docs, 85, 4).collect())) == _brute_links(rows, 85, 4)
+
+
 def test_keep_one_per_component(docs, rows):
     kept = jaccard_join.keep_one_per_component(docs, 80, 5)
     assert kept.columns == docs.columns
