@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 #: One markup token; comments, declarations and raw text elements are taken whole. Possessive, so linear.
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|head)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+    r"|<(?P<raw>script|style|template|svg|iframe|textarea|head)(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)[^>]*+>",
     re.S | re.I,
@@ -18,7 +18,8 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr br".split()
+    "strike strong sub sup time tt u var wbr br "
+    "math semantics annotation mrow mi mn mo ms mtext mspace mstyle mpadded msup msub msubsup mfrac msqrt mroot mover munder munderover".split()
 )
 #: An open element of the value is closed when the key begins.
 CLOSES = {
@@ -45,6 +46,7 @@ def parse(page: str | None) -> list[Node]:
 
     Text gathers in its nearest block element until a block begins or ends; inline tags do not part it, a
     line break counts as white space. Character references are decoded, white space becomes one space.
+    Raw elements are left out up to their closing tag; without one, only script and style take the rest of the page.
     """
     nodes = [Node("#root", -1)]
     open_at = [0]  # indexes of open block elements
@@ -98,9 +100,11 @@ def parse(page: str | None) -> list[Node]:
         at = token.end()
         if token["raw"]:
             raw = token["raw"].lower()
+            if raw == "svg" and token[0].endswith("/>"):
+                continue
             stop = re.compile(rf"</{raw}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else (end if raw != "head" else at)
-            if raw in ("iframe", "object", "textarea", "head"):
+            at = stop.end() if stop else (end if raw in ("script", "style") else at)
+            if raw in ("iframe", "textarea", "head"):
                 flush()
             continue
         name = (token["name"] or token["name2"] or "").lower()

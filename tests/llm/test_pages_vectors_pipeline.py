@@ -66,6 +66,19 @@ def test_parser_is_tolerant():
     assert text("<p>" * 3000 + "deep") == ["deep"]
 
 
+def test_parser_keeps_text_around_and_in_embedded_elements():
+    text = lambda page: [n.text for n in parse(page) if n.text is not None]
+    assert text('<p>one <svg class="i" viewBox="0 0 1 1"/>two</p><p>three</p>') == ["one two", "three"]
+    assert text("<p>one<svg><path d='m'/></svg> two</p><svg/><p>three</p><svg></svg>") == ["one two", "three"]
+    assert text("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be, <math/>so</p><p>end</p>") == ["Let x=1 be, so", "end"]
+    assert text("<p>a</p><noscript><p>in noscript</p></noscript><object data='x'>in object</object>b") == ["a", "in noscript", "in object", "b"]
+    for name in ("svg", "template", "iframe", "textarea"):
+        assert text(f"<p>before</p><{name}><p>after</p>") == ["before", "after"]
+        assert text(f"<p>before</p><{name}>gone</{name}><p>after</p>") == ["before", "after"]
+    assert text("<svg-icon>kept</svg-icon><p>end</p>") == ["kept", "end"]
+    assert text("a<script>if (x) {") == ["a"]
+
+
 def test_messages_give_exact_marginals():
     model = html_tree.TreeModel({})
     nodes = parse("<div class='ad'>Buy now</div><div><p>A long sentence stands here, it ends.</p><a>x</a></div>")
