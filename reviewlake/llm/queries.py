@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlake.llm import (
     bpe,
+    decontaminate,
     html_tree,
     jaccard_join,
+    merkle,
     mixing,
     permutation_index,
     quality_classifier,
@@ -15,6 +17,7 @@ from reviewlake.llm import (
     sharding,
     token_codes,
     toxicity,
+    vector_codes,
 )
 from reviewlake.llm.texts import WORD
 
@@ -83,11 +86,24 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_mix_sources, op3_quality_rules, op4_quality_classifier, op5_token_codes,
         op6_byte_level_bpe, op7_sharding, op8_html_extraction, op9_toxicity, op10_permutation_index,
+        op11_merkle_manifest, op12_benchmark_decontamination, op13_vector_codes,
     )
 }
 
@@ -162,4 +178,11 @@ SELECT doc_id, source, tokens AS mix_tokens, round(weight, 9) AS mix_weight, epo
 FROM repeated
 """
 
-ORACLES = {"op1_ngram_jaccard_join": _JACCARD, "op2_mix_sources": _MIX, "op3_quality_rules": quality_rules.SQL}
+ORACLES = {
+    "op1_ngram_jaccard_join": _JACCARD,
+    "op2_mix_sources": _MIX,
+    "op3_quality_rules": quality_rules.SQL,
+    "op11_merkle_manifest": merkle.SQL,
+    "op12_benchmark_decontamination": decontaminate.SQL,
+    "op13_vector_codes": vector_codes.SQL,
+}
