@@ -33,6 +33,24 @@ def attach_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame
     return df.join(pin_small(weights, "class_weights"), label)
 
 
+def resampled_classes(sizes: list[int], strategy: str | None) -> list[bool]:
+    """Which of a few counted classes ``strategy`` reduces; the same choice as in ``undersample``. None reduces none."""
+    if strategy is None:
+        return [False] * len(sizes)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
+    present = [i for i, n in enumerate(sizes) if n]
+    smallest = min(present, key=lambda i: (sizes[i], i), default=None)
+    largest = min(present, key=lambda i: (-sizes[i], i), default=None)
+    chosen = {
+        "majority": lambda i: i == largest,
+        "not minority": lambda i: i != smallest,
+        "not majority": lambda i: i != largest,
+        "all": lambda i: True,
+    }[strategy]
+    return [i in present and chosen(i) for i in range(len(sizes))]
+
+
 def _targets(counted: DataFrame, strategy: str) -> DataFrame:
     """(_g, _n_c, _quota, _target): which classes are resampled, and to how many rows.
 
@@ -101,26 +119,6 @@ def draw_sample(
     return sampled.unionByName(_untouched(df, label, targets, name))
 
 
-def draw_samples(numbering: Numbering, strategy: str, seeds: list[str]) -> DataFrame:
-    """(tree, _k, times) for one balanced sample per seed, all made in one job.
-
-    Targets and row numbers are shared; tree ``i`` makes the same draws as ``draw_sample`` with its seed.
-    Classes that are not resampled are in each tree once per row.
-    """
-    targets = stage(_targets(numbering.classes, strategy), "targets")
-    wanted = pin_small(targets.where("_target").select(F.col("_g").alias("_tg"), "_n_c", "_quota"), "wanted")
-    single = numbering.numbered.join(wanted, F.col("_g").eqNullSafe(F.col("_tg"))).where(F.col("_rn") < F.col("_quota"))
-    each = single.select("*", F.posexplode(F.array(*[F.lit(s) for s in seeds])).alias("tree", "_seed"))
-    text = F.concat_ws(":", F.col("_seed"), F.col("_g").cast("string"), F.col("_rn").cast("string"))
-    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
-    drawn = each.groupBy("tree", F.col("_g").alias("_dg"), (bits % F.col("_n_c")).alias("_drn")).agg(F.count("*").alias("times"))
-    hits = numbering.numbered.join(drawn, F.col("_g").eqNullSafe(F.col("_dg")) & (F.col("_rn") == F.col("_drn")))
-    kept = pin_small(targets.where(~F.col("_target")).select(F.col("_g").alias("_whole")), "untouched")
-    whole = numbering.numbered.join(kept, F.col("_g").eqNullSafe(F.col("_whole")), "left_semi")
-    whole = whole.select(F.explode(F.sequence(F.lit(0), F.lit(len(seeds) - 1))).alias("tree"), "_k", F.lit(1).cast("bigint").alias("times"))
-    return hits.select("tree", "_k", "times").unionByName(whole)
-
-
 def undersample(
     df: DataFrame,
     label: str,
