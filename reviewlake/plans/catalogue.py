@@ -1304,7 +1304,7 @@ TRIALS, TRIAL_SEED = 3, 42
 
 def _hash_sql(a: str, b: str, c: str) -> str:
     """The hash of ``draws`` on three whole numbers."""
-    mixed = " + ".join(f"({v}) % {draws.PRIME} * {f} % {draws.PRIME}" for v, f in zip((a, b, c), draws.FACTORS))
+    mixed = " + ".join(f"({v})::BIGINT % {draws.PRIME} * {f} % {draws.PRIME}" for v, f in zip((a, b, c), draws.FACTORS))
     power = f"lambda x: ((x * x % {draws.PRIME}) * (x * x % {draws.PRIME}) % {draws.PRIME} * x + {draws.STEP}) % {draws.PRIME}"
     return f"list_transform(list_transform([({mixed}) % {draws.PRIME}], {power}), {power})[1]"
 
@@ -1375,10 +1375,19 @@ def search_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(_totals_sql(("default", "optimised")).replace("AS at_least", "AS at_least, true AS best_of_trials"))
+@query(_totals_sql(("default", "optimised")).replace("AS at_least", "AS at_least, true AS best_of_trials, true AS reproduced"))
 def compare_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of the default and the optimised forest, their mean recalls up to the floor, and whether no trial beats the winner."""
+    """Totals of the default and the optimised forest, their scores up to the floor, whether no trial beats the winner, and whether its score returns."""
     searching, trials = _forest_search(spark, sf_dir)
     winner = search.best(trials).first().asDict()
-    totals = _totals(stage(searching.compare_best(winner), "compared"))
-    return totals.withColumn("best_of_trials", F.lit(winner["score"] == trials.agg(F.max("score")).first()[0]))
+    confusion = stage(searching.compare_best(winner), "compared")
+    totals = _totals(confusion)
+    tuned = confusion.where("model = 'optimised'")
+    seen = tuned.where("count > 0").agg(F.count_distinct("predicted")).first()[0]
+    right = tuned.agg(F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)) / F.sum("count")).first()[0]
+    score = right if seen == 2 else 0.0
+    # trials compete by guarded accuracy, which promises nothing about recall, so that is what the winner must reach
+    reached = F.when(F.col("model") == "optimised", F.lit(min(score, RECALL_FLOOR))).otherwise(F.col("at_least"))
+    best_of_trials = F.lit(winner["score"] == trials.agg(F.max("score")).first()[0])
+    reproduced = F.lit(abs(score - winner["score"]) < 1e-9)
+    return totals.withColumns({"at_least": reached, "best_of_trials": best_of_trials, "reproduced": reproduced})
