@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -51,8 +51,8 @@ def _packed(values: np.ndarray, width: int) -> bytes:
     out = bytearray()
     for start in range(0, len(values), 1 << 17):  # a multiple of 8 values: whole bytes
         part = values[start : start + (1 << 17)]
-        bits = (part[:, None] >> np.arange(width, dtype=np.uint32)[None, :]) & np.uint32(1)
-        out += np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+        raw = np.ascontiguousarray(part, "<u4").view(np.uint8).reshape(-1, 4)
+        out += np.packbits(np.unpackbits(raw, axis=1, count=width, bitorder="little").ravel(), bitorder="little").tobytes()
     return bytes(out)
 
 
@@ -130,8 +130,9 @@ class Codes:
             for start in range(0, size, 1 << 17):
                 stop = min(size, start + (1 << 17))
                 bits = np.unpackbits(chunks[start * width // 8 :], count=(stop - start) * width, bitorder="little")
-                value = bits.reshape(-1, width) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
-                ids[place[start:stop]] |= value.astype(np.uint32) << np.uint32(shift)
+                raw = np.zeros((stop - start, 4), np.uint8)
+                raw[:, : -(-width // 8)] = np.packbits(bits.reshape(-1, width), axis=1, bitorder="little")
+                ids[place[start:stop]] |= raw.view("<u4").ravel().astype(np.uint32) << np.uint32(shift)
             shift += width
             if len(bitmap):
                 place = place[np.unpackbits(bitmap, count=size, bitorder="little").astype(bool)]
@@ -139,14 +140,15 @@ class Codes:
 
 
 @lru_cache(maxsize=2)
-def _library_encoder(path: str) -> ChunkIds:
+def _library_encoder(path: str) -> Callable[[list[str | None]], list[np.ndarray]]:
+    """Ids of texts as the library gives them: chunk by chunk, and texts that name an added token as a whole."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
     length = np.zeros(max(tokenizer.get_vocab().values()) + 1, np.int64)
     for token, i in tokenizer.get_vocab().items():
@@ -174,7 +176,17 @@ def _library_encoder(path: str) -> ChunkIds:
         parts += [joined(keys[i : i + 4096]) for i in range(marked, len(keys), 4096)]
         return np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
 
-    return ChunkIds(encode)
+    chunks = ChunkIds(encode)
+
+    def encode_all(texts: list[str | None]) -> list[np.ndarray]:
+        whole = [i for i, text in enumerate(texts) if text and any(a in text for a in added)]
+        apart = set(whole)
+        found = list(chunks.encode_all([None if i in apart else t for i, t in enumerate(texts)] if whole else texts))
+        for i in whole:
+            found[i] = np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+        return found
+
+    return encode_all
 
 
 def _segments(tokenizer_path: str, segment_ids: int):
@@ -185,25 +197,27 @@ def _segments(tokenizer_path: str, segment_ids: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        known = _library_encoder(tokenizer_path)
+        encode_all = _library_encoder(tokenizer_path)
+        end = np.array([END_ID], np.uint32)
+        counts: list[int] = []
         docs: list[int | None] = []
         held: list[np.ndarray] = []
         total = 0
 
         def close() -> pa.RecordBatch:
             ids = np.concatenate(held)
-            counts = np.array([len(x) for x in held], np.int64)
-            row = [part, seq, docs[0], docs[-1], len(docs), len(ids), pack(ids, docs, counts)]
+            row = [part, seq, docs[0], docs[-1], len(docs), len(ids), pack(ids, docs, np.array(counts, np.int64))]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in slices(batches, "text", 16 << 20):
-            for doc_id, ids in zip(text_column(batch, "doc_id"), known.encode_all(text_column(batch, "text"))):
+            for doc_id, ids in zip(text_column(batch, "doc_id"), encode_all(text_column(batch, "text"))):
                 docs.append(doc_id)
-                held.append(np.append(ids, np.uint32(END_ID)))
-                total += len(held[-1])
+                counts.append(len(ids) + 1)
+                held += (ids, end)
+                total += counts[-1]
                 if total >= segment_ids:
                     yield close()
-                    seq, docs, held, total = seq + 1, [], [], 0
+                    seq, docs, counts, held, total = seq + 1, [], [], [], 0
         if docs:
             yield close()
 
