@@ -74,7 +74,14 @@ def features(documents: DataFrame) -> DataFrame:
     covered = F.expr(
         f"aggregate(_places, struct(0L AS total, 0 AS upto), (a, p) -> struct(a.total + {WINDOW} + p - greatest(a.upto, p) AS total, p + {WINDOW} AS upto), a -> a.total)"
     )
-    return places.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_lines", "_windows", "_sorted", "_places")
+    made = places.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_lines", "_windows", "_sorted", "_places")
+    # the optimizer would push a filter on a feature below the columns it is made of, and split a text again for each of its
+    # words; it does not move one below a column that depends on the task
+    here = F.spark_partition_id() >= 0
+    return made.withColumns({c: F.when(here, F.col(c)) for c in FEATURES})
+
+
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def base_failed() -> Column:
@@ -136,10 +143,7 @@ def judge(documents: DataFrame, candidates: list[Rule] | None = None) -> DataFra
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """Rows whose verdict is to keep them, with the columns of ``documents``."""
-    # the optimizer would push the verdict below the columns it is made of, and split a text again for each of its words;
-    # it does not move a filter below a column that depends on the task
-    judged = judge(documents).withColumn("_task", F.spark_partition_id())
-    kept = judged.where(F.col("kept") & (F.col("_task") >= 0))
+    kept = judge(documents).where("kept")
     return kept.select(*(F.col(f"`{c}`") for c in documents.columns))
 
 

@@ -214,6 +214,11 @@ def test_quality_rules(docs, rows, empty):
     assert quality_rules.judge(empty).count() == 0
 
 
+def test_a_filter_on_the_verdict_stays_above_the_features(docs):
+    judged = quality_rules.judge(docs)
+    assert judged.where("kept").count() == sum(r["kept"] for r in judged.select("kept").collect())
+
+
 def test_cascade_order_changes_cost_only(docs):
     rules = quality_rules.rules()
     measured = {r.name: (1.0, i / 10) for i, r in enumerate(rules)}
@@ -313,7 +318,7 @@ def test_token_codes_round_trip(spark, docs, rows, empty, tmp_path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    assert 50256 in tokenizer.encode("a<|endoftext|>b", add_special_tokens=False).ids
     path = str(tmp_path / "codes")
     found = token_codes.encode_documents(docs, tokenizer_file("byte_bpe_50k.json"), path, segment_ids=5_000).orderBy("start").collect()
     want = Counter((r[0], tuple(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + (0,)) for r in rows)
