@@ -652,9 +652,11 @@ SELECT {keys}, label AS language FROM ranked WHERE rn = 1
 """
 
 
-def _language_model(spark: SparkSession, sf_dir: str) -> language.LanguageModel:
+def _language_model(
+    spark: SparkSession, sf_dir: str, wide: int = language.WIDE_LANGUAGES
+) -> language.LanguageModel | language.SparseLanguageModel:
     labelled = texts(spark, sf_dir, "documents").select("text", F.col("lang").alias("language"))
-    return language.fit_profiles(labelled)
+    return language.fit_profiles(labelled, wide=wide)
 
 
 @query(
@@ -678,6 +680,12 @@ def identify_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(texts(spark, sf_dir, "conversations"), _language_model(spark, sf_dir), ["conv_id", "turn"])
 
 
+@query(_identify_sql("doc_id", "documents"))
+def identify_language_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same languages from postings of the languages that know a gram."""
+    return language.identify(texts(spark, sf_dir, "documents"), _language_model(spark, sf_dir, wide=0), "doc_id")
+
+
 @query("SELECT doc_id, 'len' || length(text) AS tag FROM documents")
 def apply_model_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     def length_model():

@@ -21,6 +21,26 @@ def test_texts_without_letters_keep_their_row(spark):
     assert got == {1: "en", 2: "en", 3: "en", 4: "en", 5: "fr"}
 
 
+@pytest.mark.parametrize("max_bytes", [1 << 28, 0])
+def test_sparse_profiles_give_the_same_languages(spark, sf_dir, max_bytes):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumnRenamed("lang", "language")
+    texts = docs.unionByName(spark.createDataFrame([(-1, "12 !", None, None, None), (-2, None, None, None, None), (-3, "ʘʘʘʘ", None, None, None)], docs.schema))
+    wide = language.identify(texts, language.fit_profiles(docs), "doc_id", name="found")
+    sparse = language.identify(texts, language.fit_profiles(docs, wide=1), "doc_id", name="found", max_bytes=max_bytes)
+    assert sorted(map(tuple, sparse.collect())) == sorted(map(tuple, wide.collect()))
+
+
+def test_more_languages_than_columns(spark):
+    letters = "abcdefghijklmnop"
+    word = lambda i: "".join(letters[i >> shift & 15] for shift in (8, 4, 0)) * 2
+    rows = spark.createDataFrame([(i, f"{word(i)} common {word(i)}", f"l{i:04d}") for i in range(1500)], "id int, text string, language string")
+    model = language.fit_profiles(rows)
+    assert isinstance(model, language.SparseLanguageModel) and model.penalties.count() == 1500
+    assert language.profile_table(model).count() == model.profiles.agg(F.sum(F.size("known"))).first()[0]
+    found = language.identify(rows, model, name="found").join(rows, "id")
+    assert found.where("found <> language").count() == 0 and found.count() == 1500
+
+
 def test_trigrams_against_brute_force(spark):
     texts = spark.createDataFrame([(1, "Hyvä, ääni 4K!"), (2, "𝒳a b")], "id int, text string")
     got = {}
