@@ -78,7 +78,10 @@ def _search_cell(places: int, pivots: int, k: int, reranked: float, least: int):
         vectors = vectors.sort_values("vec_id", kind="stable")
         ids = vectors["vec_id"].to_numpy()
         exact = np.stack(vectors["embedding"].to_numpy())
-        rough = exact.astype(np.float32)
+        norms = np.sqrt((exact * exact).sum(axis=1))
+        rough = (exact / norms[:, None]).astype(np.float32)
+        # more than a product of single-precision unit vectors can be off by
+        margin = (exact.shape[1] + 8) * 1.2e-7
         files = np.full((pivots, len(ids)), places, np.int16)
         named = np.stack(vectors["nearest"].to_numpy())
         files[named.T, np.arange(len(ids))[None, :]] = np.arange(named.shape[1], dtype=np.int16)[:, None]
@@ -91,10 +94,13 @@ def _search_cell(places: int, pivots: int, k: int, reranked: float, least: int):
             near = np.argpartition(footrule, wanted - 1)[:wanted] if wanted < len(ids) else np.arange(len(ids))
             near = near[ids[near] != query_id]
             query = np.asarray(embedding)
-            if len(near) > 4 * k:  # single precision first, with a margin far above its error
-                about = rough[near] @ query.astype(np.float32)
-                cut = np.partition(about, len(about) - k)[len(about) - k]
-                near = near[about >= cut - 1e-4 * max(1.0, abs(float(cut)), float(np.abs(query).sum() * np.abs(rough[near[:1]]).max()))]
+            length = np.sqrt((query * query).sum())
+            if len(near) > 4 * k and np.isfinite(norms).all() and np.isfinite(length):
+                # unit vectors in single precision first; what lies between the bounds of each candidate is ranked exactly
+                size = norms[near] * length
+                about = (rough[near] @ (query / length).astype(np.float32)).astype(np.float64) * size
+                low = about - margin * size
+                near = near[about + margin * size >= np.partition(low, len(low) - k)[len(low) - k]]
             score = (exact[near] * query).sum(axis=1)
             best = np.lexsort((ids[near], -score))[:k]
             found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[near][best], "score": score[best]}))

@@ -132,6 +132,20 @@ def test_nearest_neighbours_of_awkward_vectors(spark):
     assert permutation_index.search(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [(1e25, 1e25), (1e-30, 1e-30), (1e-20, 1e25)])
+def test_vectors_of_any_finite_size_take_part(spark, sizes):
+    rng = np.random.default_rng(1)
+    scale = np.exp(rng.uniform(*np.log(sizes), 200))
+    rows = [(i, (rng.normal(size=8) * scale[i]).astype(np.float32).tolist()) for i in range(200)]
+    found = permutation_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, k=20, pivots=16, places=8)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    want = _brute_search(rows, 20)
+    assert {q: [i for i, _ in some] for q, some in got.items()} == {q: [i for i, _ in some] for q, some in want.items()}
+    assert all(np.allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=1e-9, atol=0) for q in want)
+
+
 def test_recall_with_a_real_cut(spark):
     sf_dir = "/root/testdata/sf0.1"
     found = permutation_index.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
