@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlake.llm.linear import Settings, bounded, sigmoid, train
 from reviewlake.llm.texts import ship_package, slices, text_column
@@ -27,7 +27,12 @@ WORDS = re.compile(r"\w+")
 #: Words are seen whole and by their beginnings, so that inflected forms share evidence.
 BEGINNINGS = (4, 5, 6)
 REMEMBERED = 200_000
-SETTINGS = Settings(alpha=1.0, l1=2.0, l2=0.01, passes=6, parts=2)
+#: A gram takes part in training if the share of toxic rows among the rows that hold it is surely above this.
+TELLING_SHARE = 0.4
+#: How sure: the lower end of the Wilson interval this many deviations wide.
+DEVIATIONS = 1.96
+SETTINGS = Settings(alpha=1.0, l1=0.05, l2=0.01, passes=6, parts=1)
+MODELS = ("all", *(f"fold{k}" for k in range(FOLDS)))
 
 
 class WordPresence:
@@ -105,6 +110,42 @@ def training_rows(documents: DataFrame, labels: DataFrame, seeds: dict, settings
     return stage(made.withColumn("fold", fold).withColumn("part", part), "toxic_training")
 
 
+def telling_grams(rows: DataFrame, dimensions: int) -> dict[str, np.ndarray]:
+    """{model: mask over the hashed grams} of grams whose presence tells toxic rows from others.
+
+    A rare word of one long toxic text says nothing, the same word in several toxic texts and no clean one
+    does. The model of a fold counts only the rows outside that fold. At most ``dimensions`` rows come back.
+    """
+    grams = rows.select("toxic", "fold", F.explode("grams").alias("gram"))
+
+    def share(model: str) -> Column:
+        seen = F.lit(True) if model == "all" else F.col("fold") != int(model.removeprefix("fold"))
+        n, hits = F.count_if(seen), F.count_if(seen & (F.col("toxic") == 1))
+        p, z2 = hits / n, DEVIATIONS**2
+        low = (p + z2 / (2 * n) - DEVIATIONS * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+        return F.coalesce(F.when(n > 0, low), F.lit(0.0))
+
+    counted = grams.groupBy("gram").agg(*((share(m) >= TELLING_SHARE).alias(m) for m in MODELS))
+    found = counted.where(" OR ".join(MODELS)).toArrow()
+    masks = {}
+    for model in MODELS:
+        masks[model] = np.zeros(dimensions, bool)
+        masks[model][found["gram"].to_numpy()[found[model].to_numpy()]] = True
+    return masks
+
+
+def _only(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """``rows`` with the grams in ``wanted`` only, staged: what is trained on stays small, however long a text is."""
+    mask = rows.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(frames):
+        for frame in frames:
+            frame["grams"] = [g[mask.value[g]] for g in (np.asarray(g, np.int64) for g in frame["grams"])]
+            yield frame
+
+    return stage(rows.mapInPandas(run, rows.schema), "toxic_telling")
+
+
 def _chances(row: dict, weights: np.ndarray, dimensions: int, earlier: int) -> float:
     index, value = _example(row, dimensions, earlier)
     return float(sigmoid(weights[index] @ value + weights[dimensions]))
@@ -128,17 +169,21 @@ def fit_chain(documents: DataFrame, labels: DataFrame, seeds: dict = SEEDS, sett
     """Weights of each link of the chain. A later link is trained on out-of-fold probabilities of earlier ones."""
     ship_package(documents.sparkSession)
     rows = training_rows(documents, labels, seeds, settings, most_rows)
+    telling = telling_grams(rows, settings.dimensions)
+    rows = _only(rows, np.logical_or.reduce(list(telling.values())))
+    masks = documents.sparkSession.sparkContext.broadcast(telling)
     chain = []
     for step in range(len(seeds) + 1):
         label = F.col("toxic") if step == len(seeds) else F.when(F.col("toxic") == 1, F.col("seeded")[step]).otherwise(0)
-        models = ["all"] if step == len(seeds) else ["all", *(f"fold{k}" for k in range(FOLDS))]
+        models = MODELS[:1] if step == len(seeds) else MODELS
         member = F.array(
             F.lit("all"), *(F.when(F.col("fold") != k, F.lit(f"fold{k}")) for k in range(FOLDS) if step < len(seeds))
         )
         copies = rows.withColumn("label", label).withColumn("model", F.explode(F.array_compact(member)))
 
         def features(row: dict, step=step) -> tuple[np.ndarray, np.ndarray]:
-            return _example(row, settings.dimensions, step)
+            grams = np.asarray(row["grams"], np.int64)
+            return _example({**row, "grams": grams[masks.value[row["model"]][grams]]}, settings.dimensions, step)
 
         weights = train(copies, features, ["grams", *(f"p{k}" for k in range(step))], settings, models, len(seeds))
         chain.append(weights["all"])
@@ -147,20 +192,26 @@ def fit_chain(documents: DataFrame, labels: DataFrame, seeds: dict = SEEDS, sett
     return chain
 
 
+def _scored(batches: Iterator[pa.RecordBatch], column: str, links: list[np.ndarray], dimensions: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Slices of the batches, bounded in bytes of text, with the probability of each category per row."""
+    presence = WordPresence(dimensions)
+    for batch in slices(batches, column, 16 << 20):
+        found = np.zeros((batch.num_rows, len(links)))
+        for i, text in enumerate(text_column(batch, column)):
+            grams = presence(text)
+            for k, w in enumerate(links):
+                score = w[grams].sum() + w[dimensions] + w[dimensions + 1 : dimensions + 1 + k] @ found[i, :k]
+                found[i, k] = sigmoid(score)
+        yield batch, found
+
+
 def _predict(chain, dimensions: int, names: list[str]):
     schema = pa.schema([("doc_id", pa.int64()), *((f"p_{name}", pa.float64()) for name in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        presence, links = WordPresence(dimensions), chain.value
-        for batch in slices(batches, "text", 16 << 20):
-            found = np.zeros((batch.num_rows, len(links)))
-            for i, text in enumerate(text_column(batch, "text")):
-                grams = presence(text)
-                for k, w in enumerate(links):
-                    score = w[grams].sum() + w[dimensions] + w[dimensions + 1 : dimensions + 1 + k] @ found[i, :k]
-                    found[i, k] = sigmoid(score)
+        for batch, found in _scored(batches, "text", chain.value, dimensions):
             ids = batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(found[:, k]) for k in range(len(links)))], schema=schema)
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(found[:, k]) for k in range(len(names)))], schema=schema)
 
     return run
 
@@ -184,18 +235,10 @@ def reject_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5
     """Rows of ``documents``, all columns, that the chain does not call toxic; the text alone decides."""
     chain = fit_chain(documents, labels)
     shared = documents.sparkSession.sparkContext.broadcast(chain)
-    names = documents.columns
-    at = next(i for i, c in enumerate(names) if c.lower() == "text")
+    column = next(c for c in documents.columns if c.lower() == "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        presence, links, dimensions = WordPresence(SETTINGS.dimensions), shared.value, SETTINGS.dimensions
-        for batch in batches:
-            keep = []
-            for text in batch.column(at).to_pylist():
-                grams, before = presence(text), []
-                for k, w in enumerate(links):
-                    before.append(float(sigmoid(w[grams].sum() + w[dimensions] + w[dimensions + 1 : dimensions + 1 + k] @ np.array(before))))
-                keep.append(before[-1] <= threshold)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for batch, found in _scored(batches, column, shared.value, SETTINGS.dimensions):
+            yield batch.filter(pa.array(found[:, -1] <= threshold))
 
     return documents.mapInArrow(run, documents.schema)

@@ -191,7 +191,7 @@ def test_pipeline_run_and_registration(spark, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality_rules", "near_duplicates", "mixing", "encoding"]
     registered = entry.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(registered)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))

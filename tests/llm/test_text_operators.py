@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -12,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from reviewlake.llm import bpe, jaccard_join, mixing, quality_classifier, quality_rules, sharding, token_codes, toxicity
 from reviewlake.llm.components import components
@@ -267,7 +269,7 @@ def test_toxicity_chain(spark, empty):
     found = scored.collect()
     assert len(found) == len(made)
     unseen = [r for r in found if r["doc_id"] is not None and 500 <= r["doc_id"] < 800]
-    assert sum(r["toxic"] for r in unseen if r["doc_id"] % 4 == 0) >= 60  # of 75, each told by a single word
+    assert sum(r["toxic"] for r in unseen if r["doc_id"] % 4 == 0) >= 70  # of 75, each told by a single word
     assert sum(r["toxic"] for r in unseen if r["doc_id"] % 4) == 0
     kept = toxicity.reject_toxic(docs, labels)
     assert kept.columns == docs.columns
@@ -276,6 +278,33 @@ def test_toxicity_chain(spark, empty):
     assert toxicity.score_toxicity(empty, labels).count() == 0
 
 
+@pytest.mark.parametrize("table,recall", [("sf0.01", 0.6), ("sf0.1", 0.8)])
+def test_toxicity_of_labels_kept_out(spark, table, recall):
+    """A third of the labels trains nothing. Most toxic words of the smaller table occur in no trained text."""
+    documents = spark.read.parquet(f"/root/testdata/{table}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{table}/labels.parquet")
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    kept_out = labels.where(out).select("doc_id", F.col("toxic").alias("marked"))
+    rows = toxicity.score_toxicity(documents.join(labels, "doc_id", "left_semi"), labels.where(~out)).join(kept_out, "doc_id").collect()
+    hits = sum(r["toxic"] for r in rows if r["marked"] == 1)
+    assert hits >= recall * sum(r["marked"] == 1 for r in rows)
+    assert hits >= 0.97 * sum(r["toxic"] for r in rows if r["marked"] is not None)
+
+
+def test_telling_grams_by_hand(spark):
+    made = [(1, 0, [5, 7]), (1, 1, [5, 7]), (1, 2, [5]), (1, 0, [5]), (1, 1, [5, 9]), (1, 2, [5]), *[(0, k % 3, [7, 8]) for k in range(9)]]
+    rows = spark.createDataFrame(made, "toxic int, fold int, grams array<long>")
+    masks = toxicity.telling_grams(rows, 16)
+    for model, fold in (("all", None), ("fold0", 0), ("fold1", 1), ("fold2", 2)):
+        counts = {g: [t for t, f, grams in made if f != fold and g in grams] for g in range(16)}
+        want = []
+        for g, marks in counts.items():
+            n, p = len(marks), sum(marks) / max(1, len(marks))
+            low = (p + 1.96**2 / (2 * n) - 1.96 * math.sqrt(p * (1 - p) / n + 1.96**2 / (4 * n * n))) / (1 + 1.96**2 / n) if n else 0
+            want += [g] if low >= 0.4 else []
+        assert np.flatnonzero(masks[model]).tolist() == want
+
+
 @pytest.fixture(scope="module")
 def reference_encoding():
     with open(tokenizer_file("byte_bpe_50k.tiktoken"), "rb") as lines:
