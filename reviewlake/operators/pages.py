@@ -44,6 +44,24 @@ def parse_products(pages: DataFrame, column: str = "json", schema: T.StructType
     return pages.withColumn(name, F.from_json(F.col(column), schema))
 
 
+def parse_loose(pages: DataFrame, column: str = "json", name: str = "doc") -> tuple[DataFrame, DataFrame]:
+    """(rows with the JSON text as a variant in ``name``, rejected rows): no schema is declared.
+
+    Any JSON value counts, also ``null``, a number or a list. Missing or malformed text is rejected, and so is a
+    value with anything but blanks behind it, which the parser alone would ignore: only one whole value stays
+    valid both inside a list and inside an object.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), column, F.lit("]")))
+    held = F.try_parse_json(F.concat(F.lit('{"v":'), column, F.lit("}")))
+    parsed = pages.withColumn(name, F.when(listed.isNotNull() & held.isNotNull(), F.try_parse_json(column)))
+    return parsed.where(F.col(name).isNotNull()), parsed.where(F.col(name).isNull()).drop(name)
+
+
+def loose_fields(pages: DataFrame, fields: dict[str, tuple[str, str]], doc: str = "doc") -> DataFrame:
+    """Add a column per field from (path, type); NULL where the path is missing or its value is not of the type."""
+    return pages.withColumns({name: F.try_variant_get(doc, path, kind) for name, (path, kind) in fields.items()})
+
+
 def paging(pages: DataFrame, doc: str = "doc") -> DataFrame:
     """Add (total, per_page, pages) from the first entry of ``products.reviewsByPid``."""
     stem = first_of_first(f"{doc}.products.reviewsByPid")

@@ -23,6 +23,7 @@ from reviewlake.operators import (
     pages,
     profile,
     search,
+    sketch,
     split,
     trees,
     vectorize,
@@ -170,6 +171,14 @@ def prune_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorize.prune(vectorize.doc_freq(counted), n_docs)
 
 
+@query(f"WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB} SELECT term, df, total FROM vocab")
+def prune_vocabulary_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vocabulary, but n-grams that a sketch proves to be in one document only are never shuffled."""
+    counted = vectorize.term_counts(_review_texts(spark, sf_dir), "id", "text", NGRAM_RANGE)
+    n_docs = _reviews(spark, sf_dir).agg(F.count("*")).scalar()
+    return vectorize.prune(sketch.frequent_doc_freq(counted), n_docs)
+
+
 @query(
     f"""
 WITH {DOC_BODY}, {_ngram_ctes('src')}, {VOCAB}
@@ -898,6 +907,47 @@ def parse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("event_id", "doc.id", "doc.reviewText.k")
 
 
+_LOOSE = """
+loose AS (
+  SELECT event_id, CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN left(props, length(props) - 1) WHEN 2 THEN '[' || props || ']'
+                   WHEN 3 THEN '{"k": "' || event_id || '"}' ELSE props END AS json
+  FROM events)
+"""
+
+
+def _loose_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_id") % 10
+    text = (
+        F.when(kind == 0, F.lit(None))
+        .when(kind == 1, F.expr("left(props, length(props) - 1)"))
+        .when(kind == 2, F.concat(F.lit("["), "props", F.lit("]")))
+        .when(kind == 3, F.concat(F.lit('{"k": "'), "event_id", F.lit('"}')))
+        .otherwise(F.col("props"))
+    )
+    return table(spark, sf_dir, "events").select("event_id", text.alias("json"))
+
+
+@query(
+    f"""
+WITH {_LOOSE}
+SELECT event_id, CAST(json_extract_string(json, CASE WHEN event_id % 10 = 2 THEN '$[0].k' ELSE '$.k' END) AS BIGINT) AS k,
+       CASE event_id % 10 WHEN 2 THEN 'ARRAY<OBJECT<k: BIGINT>>' WHEN 3 THEN 'OBJECT<k: STRING>' ELSE 'OBJECT<k: BIGINT>' END AS form
+FROM loose WHERE json IS NOT NULL AND json_valid(json)
+"""
+)
+def loose_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of several forms without a declared schema."""
+    good, _ = pages.parse_loose(_loose_events(spark, sf_dir))
+    fields = pages.loose_fields(good, {"k": ("$.k", "bigint"), "first": ("$[0].k", "bigint")})
+    return fields.select("event_id", F.coalesce("k", "first").alias("k"), F.schema_of_variant("doc").alias("form"))
+
+
+@query(f"WITH {_LOOSE} SELECT event_id, json FROM loose WHERE json IS NULL OR NOT json_valid(json)")
+def loose_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejects = pages.parse_loose(_loose_events(spark, sf_dir))
+    return rejects.select("event_id", "json")
+
+
 @query(
     """
 SELECT page_id, len(regexp_extract_all(html, '\\{.*"</p>".*\\}')) AS matches,
