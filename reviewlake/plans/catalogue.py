@@ -781,6 +781,42 @@ def drop_upos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lemmas.drop_upos(_words(spark, sf_dir)).groupBy("id", "upos").agg(F.count("*").alias("words"))
 
 
+@query(
+    f"""
+WITH {LEXICON},
+one AS (
+  SELECT language, form, lemma, upos, md5(form) < '3' AS held FROM lexicon l
+  WHERE NOT EXISTS (SELECT 1 FROM lexicon m WHERE m.language = l.language AND m.form = l.form AND m.word_idx > 0)),
+places AS (SELECT language, form, lemma, upos, unnest(range(0, least(length(form), length(lemma)) + 1)) AS i FROM one WHERE NOT held),
+shared AS (SELECT language, form, lemma, upos, max(i) FILTER (left(form, i) = left(lemma, i)) AS p FROM places GROUP BY ALL),
+edits AS (SELECT language, form, upos, length(form) - p AS cut, substr(lemma, p + 1) AS ending FROM shared),
+lengths AS (SELECT unnest(range(0, 7)) AS k),
+counted AS (
+  SELECT language, right(form, k) AS suffix, cut, ending, upos, count(*) AS n FROM edits, lengths
+  WHERE k <= length(form) AND k >= cut GROUP BY ALL),
+rules AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY language, suffix ORDER BY n DESC, cut, ending, upos) AS rn FROM counted) WHERE rn = 1),
+met AS (
+  SELECT o.language, o.form, o.lemma, r.cut, r.ending, r.upos,
+         row_number() OVER (PARTITION BY o.language, o.form ORDER BY r.cut IS NULL, k DESC) AS rn
+  FROM one o JOIN lengths ON k <= length(form) LEFT JOIN rules r ON r.language = o.language AND r.suffix = right(o.form, k)
+  WHERE o.held)
+SELECT language, form, lemma, coalesce(left(form, length(form) - cut) || ending, form) AS guessed, coalesce(upos, 'X') AS guessed_upos
+FROM met WHERE rn = 1
+"""
+)
+def guess_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemmas of forms kept out of the lexicon, by rules learnt from the rest."""
+    lexicon = stage(derived_lexicon(texts(spark, sf_dir, "documents")), "lexicon")
+    held = F.md5(F.col("form").cast("binary")) < "3"
+    several = lexicon.where("word_idx > 0").select("language", "form")
+    asked = lexicon.where(held).join(several, ["language", "form"], "left_anti").select("language", "form", "lemma")
+    guessed = lemmas.guess_lemmas(asked, stage(lemmas.suffix_rules(lexicon.where(~held)), "suffix_rules"))
+    guessed = guessed.select("language", "form", F.col("lemma").alias("guessed"), F.col("upos").alias("guessed_upos"))
+    same = F.col("a.language").eqNullSafe(F.col("g.language")) & (F.col("a.form") == F.col("g.form"))
+    return asked.alias("a").join(guessed.alias("g"), same).select("a.language", "a.form", "a.lemma", "g.guessed", "g.guessed_upos")
+
+
 @query(f"WITH {REVIEWS}, {LEXICON}, {WORDS}, {LEMMATISED} SELECT id, lemmatized_title FROM silver")
 def lemma_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lemmas.lemma_text(_words(spark, sf_dir, "title"), "id", "lemmatized_title")
