@@ -4,8 +4,10 @@ Two ideas carry the join. Lists of an inverted index are cut into blocks of one
 the position of the shingle in its set, so that the size bound skips whole blocks and the position bound
 skips the rest of a block. And sets that are equal or highly similar to one already answered get
 their answer from it: equal sets are one class; in a long list every class is first compared with the few
-most central ones, and pairs for which the overlaps with one of them already prove that they cannot be
-similar need no comparison. All others are compared: the links are those of the whole join.
+most central ones. What these connect is a group, whose sets are kept as differences to one leader: two sets
+share as much as their differences tell, so all links of a group are counted in cells of bounded size
+without a row per pair. Sets of different groups are compared unless their overlaps with a common leader
+prove that they cannot be similar. Links and their numbers are those of the whole join.
 
 Order of shingles, the same in all sets: shingles of a fixed low part of the hash space by hash,
 frequent ones of that part behind them, then all others by hash. Every shingle that can reach a prefix is
@@ -15,6 +17,7 @@ counted over all documents, so long lists are known beforehand.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reviewlake.llm.components import components
 from reviewlake.llm.texts import long_column, shingle_sets, ship_package, slices, small_join, text_column
-from reviewlake.operators.placement import fits_broadcast, stage
+from reviewlake.operators.placement import stage
 
 #: Part of the hash space whose shingles are counted and come first.
 LOW_PART = 0.25
@@ -33,8 +36,10 @@ LONG_LIST, MOST_FREQUENT = 32, 500_000
 LEADERS = 2
 #: Classes of a long list that one cell of it takes at most, about; a cell meets every other one of its list.
 CELL = 256
-#: Bytes of sets at most that every task is told.
-TOLD_BYTES = 64 << 20
+#: Sets of a group, and shingles of their differences, that one part of it holds at most, about; a cell compares two parts.
+GROUP_PART, GROUP_SHINGLES = 512, 1 << 20
+#: Different shingles whose columns a cell multiplies at once.
+COLUMNS = 2048
 #: Classes a task remembers in order not to send a copy's shingles again.
 REMEMBERED = 500_000
 
@@ -131,12 +136,13 @@ PAIRS = "a_cls long, a_size int, b_cls long, b_size int"
 _PAIRS = pa.schema([("a_cls", pa.int64()), ("a_size", pa.int32()), ("b_cls", pa.int64()), ("b_size", pa.int32())])
 
 
-def _list_pairs(cls, size, pos, percent, other=None):
+def _list_pairs(cls, size, pos, percent, side=None, group=None):
     """Index pairs of one list (sorted by size, then position) that size and position allow.
 
     A block holds the entries of one size in order of position. For an entry, blocks beyond the size
     bound are skipped whole, and inside a block all behind the last position that still allows the
-    overlap. ``other``: cells; pairs inside one are left out, unless it is negative.
+    overlap. ``side``: parts of a cell; pairs inside one are left out, unless it is negative. ``group``: pairs
+    inside one are left out.
     """
     left, right = [], []
     starts = np.flatnonzero(np.r_[True, size[1:] != size[:-1]])
@@ -156,8 +162,8 @@ def _list_pairs(cls, size, pos, percent, other=None):
             for i in fit:
                 js = np.arange(max(starts[block], i + 1) if block == own else starts[block], stop)
                 js = js[cls[js] != cls[i]]
-                if other is not None:
-                    js = js[(other[js] != other[i]) | (other[js] < 0)]
+                if side is not None:
+                    js = js[((side[js] != side[i]) | (side[js] < 0)) & (group[js] != group[i])]
                 left.append(np.full(len(js), i))
                 right.append(js)
     if not left:
@@ -183,7 +189,8 @@ def _short_pairs(data, percent, in_cells):
         need = -(-percent * (n + m) // (100 + percent))
         good = (n - pos[at] >= need) & (m - pos[other] >= need) & (cls[at] != cls[other])
         if in_cells:
-            good &= (data[4][at] != data[4][other]) | (data[4][at] < 0)
+            side, group = data[4:]
+            good &= ((side[at] != side[other]) | (side[at] < 0)) & (group[at] != group[other])
         left.append(at[good])
         right.append(other[good])
     return (np.concatenate(left), np.concatenate(right)) if left else (at, at)
@@ -199,7 +206,7 @@ def _pair_batch(cls, size, left, right) -> pa.RecordBatch:
 
 def _pairs_of_lists(percent: int, in_cells: bool):
     """Kernel over entries sorted by shingle, size, position: the pairs of each list; one open list is carried over."""
-    names = ["shingle", "cls", "size", "pos", *(["side"] if in_cells else [])]
+    names = ["shingle", "cls", "size", "pos", *(["side", "component"] if in_cells else [])]
 
     def emit(data):
         bounds = np.flatnonzero(np.r_[True, data[0][1:] != data[0][:-1], True])
@@ -213,7 +220,7 @@ def _pairs_of_lists(percent: int, in_cells: bool):
             part = [x[bounds[k] : bounds[k + 1]] for x in data]
             fresh = np.r_[True, (part[1][1:] != part[1][:-1]) | (part[2][1:] != part[2][:-1])]
             part = [x[fresh] for x in part]
-            left, right = _list_pairs(part[1], part[2], part[3], percent, part[4] if in_cells else None)
+            left, right = _list_pairs(*part[1:4], percent, *part[4:])
             if len(left):
                 yield _pair_batch(part[1], part[2], left, right)
 
@@ -256,20 +263,6 @@ def _shared(left: bytes, right: bytes) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _overlaps_of_told(told):
-    """Overlaps of pairs whose sets every task knows: {(cls, size): members}."""
-    schema = _PAIRS.append(pa.field("overlap", pa.int32()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = told.value
-        for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(name)) for name in _PAIRS.names]
-            shared = [_shared(known[a, n], known[b, m]) for a, n, b, m in zip(*(column.to_pylist() for column in columns))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(shared, pa.int32())], schema=schema)
-
-    return run
-
-
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = _PAIRS.append(pa.field("overlap", pa.int32()))
     for batch in batches:
@@ -282,11 +275,8 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, pa.array(shared, pa.int32())], schema=schema)
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, documents: DataFrame, n: int, label: str, many_pairs: bool = False) -> DataFrame:
-    """Exact overlap of each pair, from the whole texts of one document per class.
-
-    ``many_pairs``: sets that are few for their pairs are told to every task, if they fit, so that no set is moved once per pair.
-    """
+def _verify(pairs: DataFrame, classes: DataFrame, documents: DataFrame, n: int, label: str) -> DataFrame:
+    """Exact overlap of each pair, from the whole texts of one document per class."""
     sides = pairs.select(F.col("a_cls").alias("cls"), F.col("a_size").alias("size")).unionByName(
         pairs.select(F.col("b_cls").alias("cls"), F.col("b_size").alias("size"))
     )
@@ -297,11 +287,6 @@ def _verify(pairs: DataFrame, classes: DataFrame, documents: DataFrame, n: int,
     sets = stage(sets, f"{label}_sets")
     if sets.count() > wanted.count():  # repeated ids
         sets = stage(sets.dropDuplicates(["cls", "size"]), f"{label}_single_sets")
-    if many_pairs and fits_broadcast(sets, TOLD_BYTES):
-        table = sets.toArrow()
-        keys = zip(table.column("cls").to_pylist(), table.column("size").to_pylist())
-        told = dict(zip(keys, table.column("members").to_pylist()))
-        return stage(pairs.mapInArrow(_overlaps_of_told(sets.sparkSession.sparkContext.broadcast(told)), PAIRS + ", overlap int"), f"{label}_overlaps")
     a, b = (sets.select(*(F.col(c).alias(f"{side}_{c}") for c in ("cls", "size", "members"))) for side in "ab")
     both = pairs.join(a, ["a_cls", "a_size"]).join(b, ["b_cls", "b_size"])
     columns = [*_PAIRS.names, "a_members", "b_members"]
@@ -348,7 +333,7 @@ def _entries(made: DataFrame, percent: int, low_part: float, label: str) -> tupl
 
 
 def _cells(long_lists: DataFrame) -> DataFrame:
-    """Long lists as cells of bounded size, one for each two parts of a list: (shingle, cls, size, pos, side).
+    """Long lists as cells of bounded size, one for each two parts of a list: (shingle, cls, size, pos, side, component).
 
     ``shingle`` names the cell; ``side`` is the part, or -1 where a part meets itself. Each two classes of
     a list meet in exactly one cell, so that no task gets all pairs of one list.
@@ -359,28 +344,38 @@ def _cells(long_lists: DataFrame) -> DataFrame:
     met = dealt.withColumn("with", F.explode(F.expr("sequence(0, parts - 1)")))
     cell = F.xxhash64("shingle", F.least("part", "with"), F.greatest("part", "with"))
     side = F.when(F.col("part") == F.col("with"), -1).otherwise(F.col("part"))
-    return met.select(cell.alias("shingle"), "cls", "size", "pos", side.alias("side"))
+    return met.select(cell.alias("shingle"), "cls", "size", "pos", side.alias("side"), "component")
 
 
 def _pairs_in_lists(entries: DataFrame, percent: int, in_cells: bool) -> DataFrame:
-    columns = ["shingle", "cls", "size", "pos", *(["side"] if in_cells else [])]
+    columns = ["shingle", "cls", "size", "pos", *(["side", "component"] if in_cells else [])]
     sorted_lists = entries.select(*columns).repartition("shingle").sortWithinPartitions("shingle", "size", "pos", "cls")
     return sorted_lists.mapInArrow(_pairs_of_lists(percent, in_cells), PAIRS)
 
 
-def link_classes(documents: DataFrame, percent: int = 85, n: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The join itself: (documents with class, classes, links between classes).
+class Joined(NamedTuple):
+    """The join of classes of equal sets; a class is known by 64 bits of its set's hash and the set's size.
+
+    ``found``: (doc_id, n_shingles, cls), one row per document. ``classes``: (cls, size, rep, copies), one row per
+    distinct set. ``grouped``: (cls, size, component) of the classes that links reach, component being the
+    smallest id of all. ``others``: (cls, size, others), how many documents of other classes a class is
+    similar to, or nothing if that was not asked for. Documents of one class are similar without a link.
+    """
+
+    found: DataFrame
+    classes: DataFrame
+    grouped: DataFrame
+    others: DataFrame | None
+
 
-    ``documents`` has doc_id and text. Rows without doc_id or words take no part. Results:
-    (doc_id, n_shingles, cls), one row per document; (cls, size, rep, copies), one row per distinct set;
-    (a_cls, a_size, b_cls, b_size, overlap), every similar pair of classes once. A class is known by 64
-    bits of its set's hash and the set's size; documents of one class are similar without a link.
+def join_classes(documents: DataFrame, percent: int = 85, n: int = 4, count: bool = True) -> Joined:
+    """The join itself. ``documents`` has doc_id and text; rows without doc_id or words take no part.
 
     First pass: all sets, short lists. A similar pair whose first common shingle has a long list has both
     its sets among the few that enter long lists. Second pass: these sets alone, with all their
     shingles counted, so that what a set has for itself comes first and its place in a long list tells
-    how far it is from the others. Long lists then meet their most central sets, and all pairs that the
-    overlaps with these do not exclude are compared.
+    how far it is from the others. Long lists then meet their most central sets. All that is connected so far
+    is a group: its links are counted from differences, and long lists give pairs of different groups only.
     """
     ship_package(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -391,23 +386,41 @@ def link_classes(documents: DataFrame, percent: int = 85, n: int = 4) -> tuple[D
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")),
         "classes",
     )
+    found = made.select("doc_id", "n_shingles", "cls")
+    several = _several_texts(found, classes)
     similar = F.expr(f"100 * overlap >= {percent} * (a_size + b_size - overlap)")
     short, long_lists = _entries(made, percent, LOW_PART, "all")
     near = stage(_pairs_in_lists(short, percent, False).distinct(), "candidates")
     first = _verify(near, classes, texts, n, "first")
     links = first.where(similar)
-    if not long_lists.isEmpty():
-        members = long_lists.select("cls", "size").distinct()
-        ids = stage(classes.join(members, ["cls", "size"], "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "frequented")
-        again = small_join(texts, ids, ["doc_id"], "left_semi")
-        links = links.unionByName(_link_long_lists(again, classes, texts, first, percent, n, similar))
-    return made.select("doc_id", "n_shingles", "cls"), classes, links
-
-
-def _link_long_lists(again, classes, texts, first, percent, n, similar) -> DataFrame:
-    """Links of the second pass, over the texts ``again`` whose sets enter long lists, without pairs of ``first``."""
-    made = _fingerprints(again, percent, n, 1.0, "again")
-    short, long_lists = _entries(made, percent, 1.0, "again")
+    if long_lists.isEmpty():
+        grouped = _class_components(links, classes, several)
+        return Joined(found, classes, grouped, _summed(_partners(links, classes)) if count else None)
+
+    members = long_lists.select("cls", "size").distinct()
+    ids = stage(classes.join(members, ["cls", "size"], "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "frequented")
+    again = _fingerprints(small_join(texts, ids, ["doc_id"], "left_semi"), percent, n, 1.0, "again")
+    short, long_lists = _entries(again, percent, 1.0, "again")
+    stars = _stars(long_lists, percent)
+    fresh = _pairs_in_lists(short, percent, False).unionByName(stars).distinct().join(first, _PAIRS.names, "left_anti")
+    second = _verify(stage(fresh, "star_candidates"), classes, texts, n, "stars")
+    links = links.unionByName(second.where(similar))
+    grouped = _class_components(links, classes, several)
+
+    tried = first.unionByName(second)
+    rest = _pairs_of_groups(long_lists, grouped, stars, tried, percent)
+    across = stage(_verify(rest, classes, texts, n, "rest").where(similar), "across")
+    others = None
+    if count:
+        members = stage(long_lists.select("cls", "size").distinct(), "members")
+        known = _partners(_not_inside(links, members), classes).unionByName(_partners(across, classes))
+        inside = _group_links(again, small_join(members, grouped, ["cls", "size"], "inner"), classes, links, percent)
+        others = _summed(known.unionByName(inside))
+    return Joined(found, classes, _merged(grouped, across, classes), others)
+
+
+def _stars(long_lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each class of a long list with the list's most central ones, staged."""
     central = [F.min(F.struct("pos", F.xxhash64("cls", F.lit(k)).alias("h"), "cls", "size")).alias(f"l{k}") for k in range(LEADERS)]
     leaders = stage(long_lists.groupBy("shingle").agg(*central), "leaders")
     stars = small_join(long_lists, leaders, ["shingle"], "inner").select(
@@ -417,18 +430,146 @@ def _link_long_lists(again, classes, texts, first, percent, n, similar) -> DataF
     stars = stars.where(fits & (F.col("cls") != F.col("leader.cls"))).select(
         F.col("leader.cls").alias("a_cls"), F.col("leader.size").alias("a_size"), F.col("cls").alias("b_cls"), F.col("size").alias("b_size")
     )
-    stars = stage(stars.distinct(), "stars")
-    fresh = _pairs_in_lists(short, percent, False).unionByName(_ordered(stars)).distinct().join(first, _PAIRS.names, "left_anti")
-    found = _verify(stage(fresh, "star_candidates"), classes, texts, n, "stars")
-    close = found.where(similar)
+    return stage(_ordered(stars).distinct(), "stars")
 
-    tried = first.unionByName(found)
-    both_ways = tried.unionByName(tried.selectExpr("b_cls AS a_cls", "b_size AS a_size", "a_cls AS b_cls", "a_size AS b_size", "overlap"))
-    known = both_ways.join(stars, _PAIRS.names, "left_semi")
-    rest = _pairs_in_lists(_cells(long_lists), percent, True).distinct()
+
+def _pairs_of_groups(long_lists: DataFrame, grouped: DataFrame, stars: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """Pairs from long lists whose classes are in different groups, without those tried or proven not similar."""
+    marked = small_join(long_lists, grouped, ["cls", "size"], "left")
+    marked = marked.withColumn("component", F.coalesce("component", F.xxhash64("cls", "size")))
+    split = marked.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    open_lists = small_join(marked, stage(split.select("shingle"), "open_lists"), ["shingle"], "left_semi")
+    rest = _pairs_in_lists(_cells(open_lists), percent, True).distinct()
     rest = stage(rest.join(tried, _PAIRS.names, "left_anti"), "rest_candidates")
-    rest = _skip_by_leader(rest, known, percent)
-    return close.unionByName(_verify(rest, classes, texts, n, "rest", many_pairs=True).where(similar))
+    both_ways = tried.unionByName(tried.selectExpr("b_cls AS a_cls", "b_size AS a_size", "a_cls AS b_cls", "a_size AS b_size", "overlap"))
+    either_way = stars.unionByName(stars.selectExpr("b_cls AS a_cls", "b_size AS a_size", "a_cls AS b_cls", "a_size AS b_size"))
+    return _skip_by_leader(rest, both_ways.join(either_way, _PAIRS.names, "left_semi"), percent)
+
+
+def _partners(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, size, others) for both ends of each link; others: documents at the other end."""
+    ends = [
+        links.select(F.col(f"{x}_cls").alias("own"), F.col(f"{x}_size").alias("own_size"), F.col(f"{y}_cls").alias("cls"), F.col(f"{y}_size").alias("size"))
+        for x, y in ("ab", "ba")
+    ]
+    met = small_join(ends[0].unionByName(ends[1]), classes.select("cls", "size", "copies"), ["cls", "size"], "inner")
+    return met.select(F.col("own").alias("cls"), F.col("own_size").alias("size"), F.col("copies").alias("others"))
+
+
+def _summed(partners: DataFrame) -> DataFrame:
+    return stage(partners.groupBy("cls", "size").agg(F.sum("others").alias("others")), "others")
+
+
+def _not_inside(links: DataFrame, members: DataFrame) -> DataFrame:
+    """Links without those between two of ``members``, which are counted in their group."""
+    a, b = (members.select(F.col("cls").alias(f"{x}_cls"), F.col("size").alias(f"{x}_size"), F.lit(True).alias(f"{x}_in")) for x in "ab")
+    flagged = small_join(small_join(links, a, ["a_cls", "a_size"], "left"), b, ["b_cls", "b_size"], "left")
+    return flagged.where("a_in IS NULL OR b_in IS NULL").select(*links.columns)
+
+
+def _group_links(again: DataFrame, members: DataFrame, classes: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """(cls, size, others) per cell, over the similar pairs among the ``members`` (cls, size, component) of each group.
+
+    A set is kept as its symmetric difference D to the leader of its group, the member with most known
+    links. Any two sets then share (|x| + |y| - |Dx| - |Dy|) / 2 + |Dx and Dy| shingles, whoever leads. Groups are
+    dealt into parts by hash, and each two parts meet in one cell, so a task holds two parts and not a group.
+    """
+    ends = [links.select(F.col(f"{x}_cls").alias("cls"), F.col(f"{x}_size").alias("size")) for x in "ab"]
+    degree = ends[0].unionByName(ends[1]).groupBy("cls", "size").agg(F.count("*").alias("degree"))
+    ranked = stage(members.join(degree, ["cls", "size"], "left").join(classes.select("cls", "size", "copies"), ["cls", "size"]), "group_members")
+    lead = F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "cls", "size")).alias("lead")
+    groups = ranked.groupBy("component").agg(lead, F.count("*").alias("n")).where("n > 1")
+    groups = stage(groups.select("component", F.col("lead.cls").alias("l_cls"), F.col("lead.size").alias("l_size")), "group_leaders")
+    ranked = small_join(ranked.drop("degree"), groups.select("component"), ["component"], "left_semi")
+
+    sets = again.where("shingles IS NOT NULL AND doc_id IS NOT NULL").select("cls", F.col("n_shingles").cast("int").alias("size"), "shingles")
+    sets = stage(sets.join(ranked, ["cls", "size"]), "group_sets")
+    if sets.count() > ranked.count():  # repeated ids, or one class met by several tasks
+        sets = stage(sets.dropDuplicates(["cls", "size"]), "single_group_sets")
+    leaders = sets.join(groups, F.expr("cls = l_cls AND size = l_size AND l_cls IS NOT NULL"), "left_semi")
+    leaders = stage(leaders.select("component", F.col("shingles").alias("led")), "leader_sets")
+    apart = F.concat(F.array_except("shingles", "led"), F.array_except("led", "shingles"))
+    differences = stage(small_join(sets, leaders, ["component"], "inner").select("component", "cls", "size", "copies", apart.alias("apart")), "differences")
+
+    most = F.greatest(F.count("*") / F.lit(GROUP_PART), F.sum(F.size("apart")) / F.lit(GROUP_SHINGLES))
+    parts = stage(differences.groupBy("component").agg(F.ceil(most).cast("int").alias("parts")), "group_parts")
+    dealt = small_join(differences, parts, ["component"], "inner").withColumn("part", F.pmod(F.xxhash64("cls", "size"), F.col("parts")).cast("int"))
+    met = dealt.withColumn("with", F.explode(F.expr("sequence(0, parts - 1)")))
+    cells = met.select(
+        "component", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "cls", "size", "copies", "apart"
+    )
+    return cells.groupBy("component", "low", "high").applyInArrow(_cell_links(percent), "cls long, size int, others long")
+
+
+def _shared_columns(left: np.ndarray, right: np.ndarray, a_row: np.ndarray, b_row: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """How many of their values two rows share, for each row of ``left`` and of ``right``, some columns at a time."""
+    both = np.intersect1d(left, right)
+    shared = np.zeros(shape, np.float32)
+    sides = []
+    for values, row in ((left, a_row), (right, b_row)):
+        at = np.minimum(np.searchsorted(both, values), max(len(both) - 1, 0))
+        held = both[at] == values if len(both) else np.zeros(len(values), bool)
+        at, row = at[held], row[held]
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], row[order]))
+    for start in range(0, len(both), COLUMNS):
+        tables = []
+        for (at, row), count in zip(sides, shape):
+            lo, hi = np.searchsorted(at, [start, start + COLUMNS])
+            table = np.zeros((count, min(COLUMNS, len(both) - start)), np.float32)
+            table[row[lo:hi], at[lo:hi] - start] = 1
+            tables.append(table)
+        shared += tables[0] @ tables[1].T
+    return shared.astype(np.int64)
+
+
+def _cell_links(percent: int):
+    """Kernel of one cell: for each set the documents of similar sets in the other part, or in its own if there is one only."""
+    schema = pa.schema([("cls", pa.int64()), ("size", pa.int32()), ("others", pa.int64())])
+
+    def run(cell: pa.Table) -> pa.Table:
+        low, high = cell.column("low")[0].as_py(), cell.column("high")[0].as_py()
+        cls, size, copies, part = (cell.column(c).to_numpy().astype(np.int64) for c in ("cls", "size", "copies", "part"))
+        apart = cell.column("apart").combine_chunks()
+        lengths = apart.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        values = apart.flatten().to_numpy(zero_copy_only=False)
+        of_value = np.repeat(np.arange(len(cls)), lengths)
+        sides, tables = [], []
+        for side in (low, high):
+            rows = np.flatnonzero(part == side)
+            place = np.full(len(cls), -1)
+            place[rows] = np.arange(len(rows))
+            held = place[of_value] >= 0
+            sides.append(rows)
+            tables.append((values[held], place[of_value[held]]))
+        a, b = sides
+        shared = _shared_columns(tables[0][0], tables[1][0], tables[0][1], tables[1][1], (len(a), len(b)))
+        total = size[a][:, None] + size[b][None, :]
+        overlap = (total - lengths[a][:, None] - lengths[b][None, :]) // 2 + shared
+        similar = 100 * overlap >= percent * (total - overlap)
+        if low == high:
+            np.fill_diagonal(similar, False)
+            rows, others = a, similar @ copies[a]
+        else:
+            rows, others = np.r_[a, b], np.r_[similar @ copies[b], similar.T @ copies[a]]
+        rows, others = rows[others > 0], others[others > 0]
+        return pa.table([pa.array(cls[rows]), pa.array(size[rows].astype(np.int32)), pa.array(others.astype(np.int64))], schema=schema)
+
+    return run
+
+
+def _merged(grouped: DataFrame, across: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, size, component) with groups that links ``across`` them connect as one."""
+    if across.isEmpty():
+        return grouped
+    named = classes.select("cls", "size", "rep").join(grouped, ["cls", "size"], "left")
+    named = named.select("cls", "size", F.coalesce("component", "rep").alias("component"))
+    a, b = (named.select(F.col("cls").alias(f"{x}_cls"), F.col("size").alias(f"{x}_size"), F.col("component").alias(x)) for x in "ab")
+    joined = components(across.join(a, ["a_cls", "a_size"]).join(b, ["b_cls", "b_size"]).select("a", "b"))
+    joined = stage(joined.select(F.col("node").alias("component"), F.col("component").alias("merged")), "merged")
+    moved = small_join(named, joined, ["component"], "left").where("merged IS NOT NULL").select("cls", "size", "merged")
+    all_of = grouped.join(moved, ["cls", "size"], "full_outer")
+    return stage(all_of.select("cls", "size", F.coalesce("merged", "component").alias("component")), "merged_components")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -467,26 +608,6 @@ def _skip_by_leader(pairs: DataFrame, known: DataFrame, percent: int) -> DataFra
     return stage(both.where(~F.coalesce(hopeless, F.lit(False))).select(*_PAIRS.names), "kept_candidates")
 
 
-def link_counts(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
-    """(doc_id, n_shingles, n_links): to how many other rows of ``documents`` the row is similar, copies included.
-
-    One row per row of ``documents``. Rows without doc_id or words take no part and have no links.
-    """
-    found, classes, links = link_classes(documents, percent, n)
-    ends = [
-        links.select(F.col(f"{x}_cls").alias("own"), F.col(f"{x}_size").alias("own_size"), F.col(f"{y}_cls").alias("cls"), F.col(f"{y}_size").alias("size"))
-        for x, y in ("ab", "ba")
-    ]
-    partners = small_join(ends[0].unionByName(ends[1]), classes.select("cls", "size", "copies"), ["cls", "size"], "inner")
-    summed = partners.groupBy(F.col("own").alias("cls"), F.col("own_size").alias("size")).agg(F.sum("copies").alias("others"))
-    counted = classes.join(summed, ["cls", "size"], "left").select(
-        "cls", F.col("size").cast("long").alias("n_shingles"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n")
-    )
-    counted = stage(counted.where("n > 0"), "link_counts")
-    own = F.when(F.col("doc_id").isNotNull(), F.col("n"))
-    return small_join(found, counted, ["cls", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce(own, F.lit(0)).alias("n_links"))
-
-
 def _several_texts(found: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b): each doc_id that occurs with several sets, and the representatives of these."""
     rows = found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "cls", F.col("n_shingles").cast("int").alias("size"))
@@ -496,19 +617,44 @@ def _several_texts(found: DataFrame, classes: DataFrame) -> DataFrame:
     return small_join(rows, several, ["doc_id"], "left_semi").join(classes, ["cls", "size"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
 
+def _per_document(joined: Joined) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links), the last one only if links were counted."""
+    marked = joined.classes.join(joined.grouped, ["cls", "size"], "left")
+    links = F.lit(0).cast("long")
+    if joined.others is not None:
+        marked, links = marked.join(joined.others, ["cls", "size"], "left"), F.coalesce("others", F.lit(0))
+    moved = marked.select(
+        "cls", F.col("size").cast("long").alias("n_shingles"), F.coalesce("component", "rep").alias("component"), "rep", (links + F.col("copies") - 1).alias("n")
+    )
+    moved = stage(moved.where("n > 0 OR component <> rep"), "moved")
+    row = small_join(joined.found, moved.drop("rep"), ["cls", "n_shingles"], "left")
+    known = F.col("doc_id").isNotNull()
+    return row.select(
+        "doc_id", "n_shingles",
+        F.when(known, F.coalesce("component", "doc_id")).alias("component_id"),
+        F.coalesce(F.when(known, F.col("n")), F.lit(0)).alias("n_links"),
+    )
+
+
+def jaccard_join(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of the whole join.
+
+    component_id is the smallest doc_id that links reach, n_links the number of other rows that the row is
+    similar to, copies included. One row per row of ``documents``; other columns are ignored. Empty or NULL
+    text: no shingles, a component alone. NULL doc_id: component NULL, linked with nothing. A doc_id that
+    occurs with several texts is one node with the links of them all. An empty table gives no rows.
+    """
+    return _per_document(join_classes(documents, percent, n))
+
+
 def jaccard_components(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
-    """(doc_id, n_shingles, component_id): component_id is the smallest doc_id that links reach.
+    """(doc_id, n_shingles, component_id) as in ``jaccard_join``; links inside groups are not counted."""
+    return _per_document(join_classes(documents, percent, n, count=False)).drop("n_links")
 
-    One row per row of ``documents``; other columns are ignored. Empty or NULL text: no shingles, a
-    component alone. NULL doc_id: component NULL, linked with nothing. A doc_id that occurs with several
-    texts is one node with the links of them all. An empty table gives no rows.
-    """
-    found, classes, links = link_classes(documents, percent, n)
-    grouped = _class_components(links, classes, _several_texts(found, classes))
-    moved = classes.join(grouped, ["cls", "size"], "left").where("component IS NOT NULL OR copies > 1")
-    moved = stage(moved.select("cls", F.col("size").cast("long").alias("n_shingles"), F.coalesce("component", "rep").alias("component")), "moved")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return small_join(found, moved, ["cls", "n_shingles"], "left").select("doc_id", "n_shingles", own.alias("component_id"))
+
+def link_counts(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
+    """(doc_id, n_shingles, n_links) as in ``jaccard_join``."""
+    return jaccard_join(documents, percent, n).drop("component_id")
 
 
 def keep_one_per_component(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:

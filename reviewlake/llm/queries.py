@@ -37,7 +37,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), percent=85, n=4)
+    return jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"), percent=85, n=4)
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +128,9 @@ reach(node, least_id) AS (
   UNION
   SELECT l.b, r.least_id FROM reach r JOIN both_ways l ON l.a = r.node WHERE r.least_id < l.b
 )
-SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, r.component_id
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, r.component_id, coalesce(c.n, 0)::BIGINT AS n_links
 FROM s JOIN (SELECT node, min(least_id) AS component_id FROM reach GROUP BY node) r ON r.node = s.doc_id
+LEFT JOIN (SELECT a, count(*) AS n FROM both_ways GROUP BY a) c ON c.a = s.doc_id
 """
 
 

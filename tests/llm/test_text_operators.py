@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -117,6 +118,40 @@ def test_links_inside_components_are_all_found(spark, docs, rows):
     assert Counter(map(tuple, jaccard_join.link_counts(docs, 85, 4).collect())) == _brute_links(rows, 85, 4)
 
 
+def test_groups_in_several_cells(spark, monkeypatch):
+    """Copies of sets, two groups that only an own link connects, parts of about 20 sets and few columns at a time."""
+    monkeypatch.setattr(jaccard_join, "GROUP_PART", 20)
+    rng = random.Random(4)
+    bases = [[rng.choice(WORDS) for _ in range(70)] for _ in range(2)]
+    made = [(i, " ".join(_mutated(rng, bases[i % 2], rng.randrange(5)))) for i in range(160)]
+    made += [(1000 + i, made[i][1]) for i in range(0, 160, 7)]
+    found = jaccard_join.jaccard_join(spark.createDataFrame(made, "doc_id long, text string").repartition(3), 85, 4)
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    got = list(map(tuple, found.collect()))
+    assert Counter(r[:3] for r in got) == _brute_components(made, 85, 4)
+    assert Counter((r[0], r[1], r[3]) for r in got) == _brute_links(made, 85, 4)
+
+
+@pytest.mark.parametrize("parts", [(0, 0), (0, 1)])
+def test_links_of_a_cell(parts, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 7)
+    rng = random.Random(6)
+    leader = set(range(40))
+    sets = [(leader - set(rng.sample(range(40), rng.randrange(6)))) | set(rng.sample(range(40, 60), rng.randrange(6))) for _ in range(30)]
+    part = [rng.choice(parts) for _ in sets]
+    copies = [rng.randrange(1, 4) for _ in sets]
+    cell = pa.table({
+        "low": [parts[0]] * 30, "high": [parts[1]] * 30, "part": part, "cls": list(range(30)), "size": list(map(len, sets)), "copies": copies,
+        "apart": pa.array([sorted(s ^ leader) for s in sets], pa.list_(pa.int64())),
+    })
+    got = {r["cls"]: r["others"] for r in jaccard_join._cell_links(85)(cell).to_pylist()}
+    meets = lambda i, j: i != j and (part[i] != part[j] or parts[0] == parts[1])
+    want = {
+        i: sum(copies[j] for j in range(30) if meets(i, j) and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])) for i in range(30)
+    }
+    assert got == {i: n for i, n in want.items() if n}
+
+
 def test_keep_one_per_component(docs, rows):
     kept = jaccard_join.keep_one_per_component(docs, 80, 5)
     assert kept.columns == docs.columns
