@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlake.llm.texts import WORD
+from reviewlake.llm.texts import WORD, shielded
 from reviewlake.operators.placement import shuffle_width
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -142,9 +142,8 @@ def judge(documents: DataFrame, candidates: list[Rule] | None = None) -> DataFra
 
 
 def keep_good(documents: DataFrame) -> DataFrame:
-    """Rows whose verdict is to keep them, with the columns of ``documents``."""
-    kept = judge(documents).where("kept")
-    return kept.select(*(F.col(f"`{c}`") for c in documents.columns))
+    """Rows whose verdict is to keep them, with the columns of ``documents`` as they are, whatever their names."""
+    return shielded(documents, lambda rows: judge(rows).where("kept"), ("text",))
 
 
 _SQL_WORDS = rf"regexp_extract_all(coalesce(text, ''), '{WORD}')"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -101,6 +101,16 @@ def small_join(big: DataFrame, small: DataFrame, on: list[str], how: str, max_by
     return big.join(F.broadcast(small) if fits_broadcast(small, max_bytes) else small, on, how)
 
 
+def shielded(documents: DataFrame, operate: Callable[[DataFrame], DataFrame], needed: tuple[str, ...]) -> DataFrame:
+    """Rows of ``operate(documents)`` with the input's own columns, whatever their names.
+
+    All columns but the ``needed`` ones have other names inside, so none meets a column that the operator adds.
+    """
+    inside = [c if c in needed else f"in{i}" for i, c in enumerate(documents.columns)]
+    result = operate(documents.toDF(*inside))
+    return result.select(*(F.col(name).alias(c) for name, c in zip(inside, documents.columns)))
+
+
 _shipped: set[str] = set()
 
 

@@ -185,6 +185,14 @@ def test_pipeline_stages(spark, sf_dir):
     assert Counter(r["doc_id"] for r in after["encoding"]) == mixed
 
 
+def test_mixing_stage_leaves_columns_of_any_name(spark, sf_dir):
+    rows = [(i, f"some words of row {i}", "ab"[i % 2], f"note {i}", i) for i in range(20)]
+    named = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_note string, _mix_block long")
+    got = corpus_pipeline.mix_sources(spark, named, sf_dir)
+    assert got.schema == named.schema
+    assert set(map(tuple, got.collect())) == set(rows)
+
+
 def test_pipeline_run_and_registration(spark, sf_dir):
     import __spark_entry__ as entry
 

@@ -256,6 +256,14 @@ def test_a_filter_on_the_verdict_stays_above_the_features(docs):
     assert judged.where("kept").count() == sum(r["kept"] for r in judged.select("kept").collect())
 
 
+def test_keep_good_leaves_columns_of_any_name(docs):
+    named = docs.selectExpr("doc_id", "text", "doc_id AS kept", "'x' AS n_words", "doc_id AS _words", "'y' AS in0", "doc_id AS `a.b`")
+    got = quality_rules.keep_good(named)
+    assert got.schema == named.schema
+    want = [r["doc_id"] for r in quality_rules.judge(docs).where("kept").collect()]
+    assert Counter(map(tuple, got.drop("text").collect())) == Counter((d, d, "x", d, "y", d) for d in want)
+
+
 def test_cascade_order_changes_cost_only(docs):
     rules = quality_rules.rules()
     measured = {r.name: (1.0, i / 10) for i, r in enumerate(rules)}
