@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewlake.llm import bpe, jaccard_join, mixing, quality_rules, toxicity
 from reviewlake.llm.queries import MAX_EPOCHS, TARGET_ENTROPY, tokenizer_file
+from reviewlake.llm.texts import shielded
 from reviewlake.operators.placement import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -30,8 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's weight asks for; each at least once."""
-    mixed = mixing.mix(docs, TARGET_ENTROPY, MAX_EPOCHS)
-    return mixed.select(*(f"`{c}`" for c in docs.columns))
+    return shielded(docs, lambda rows: mixing.mix(rows, TARGET_ENTROPY, MAX_EPOCHS), ("doc_id", "text", "source"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
