@@ -658,16 +658,26 @@ def link_counts(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFram
 
 
 def keep_one_per_component(documents: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
-    """Rows of ``documents`` whose doc_id is the smallest of its component; one row of a repeated doc_id.
+    """One row of each group of similar texts: that with the smallest doc_id, equal ones by the text's hash.
 
-    Rows without doc_id stay, since nothing is known to be a copy of them. All columns stay as they are.
+    Texts decide, not ids: different texts under one doc_id stay unless they are similar to others, and copies go
+    whether they have a doc_id or not; a row without one is kept only where the group has no other. Rows without
+    words are similar to nothing and stay. All columns stay as they are; an empty table gives no rows. If a doc_id
+    is NULL or repeated, the rows are written once with numbers of their own.
     """
-    found = jaccard_components(documents, percent, n)
-    kept = stage(found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    gone = stage(found.where("doc_id <> component_id").select("doc_id").distinct().join(kept, "doc_id", "left_anti"), "gone")
-    rest = small_join(documents, gone, ["doc_id"], "left_anti")
-    repeated = stage(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return rest
-    twice = small_join(rest, repeated, ["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    return small_join(rest, repeated, ["doc_id"], "left_anti").unionByName(twice)
+    if documents.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        found = jaccard_components(documents, percent, n)
+        gone = stage(found.where("doc_id <> component_id").select("doc_id"), "gone")
+        return small_join(documents, gone, ["doc_id"], "left_anti")
+
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns))
+    numbered = stage(documents.select(row.alias("row"), F.monotonically_increasing_id().alias("at")), "numbered")
+    found = jaccard_components(numbered.select(F.col("at").alias("doc_id"), "row.text"), percent, n)
+    moved = found.where("doc_id <> component_id").select(F.col("doc_id").alias("at"), F.col("component_id").alias("grp"))
+    moved = stage(moved, "moved_rows")
+    groups = stage(moved.unionByName(moved.select(F.col("grp").alias("at"), "grp").distinct()), "groups")
+    members = small_join(numbered, groups, ["at"], "inner")
+    first = F.struct(F.col("row.doc_id").isNull().alias("none"), "row.doc_id", F.xxhash64("row.text").alias("h"), "at")
+    heads = members.groupBy("grp").agg(F.min(first).alias("first")).select("first.at")
+    gone = stage(groups.join(heads, "at", "left_anti").select("at"), "gone")
+    return small_join(numbered, gone, ["at"], "left_anti").select("row.*")
