@@ -14,6 +14,7 @@ from reviewlake.operators import (
     balance,
     checks,
     cleaning,
+    descent,
     draws,
     evaluate,
     keyed,
@@ -1332,11 +1333,14 @@ FROM test CROSS JOIN (VALUES {models}) AS m(model) GROUP BY model, actual
 """
 
 
-def _feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
     rows = keyed.attach(_reviews(spark, sf_dir).select("id", "text"), labels, computed=False)
-    rows = stage(split.stratified(rows, "id", "quality"), "labelled")
-    return vectorize.feature_vectors(rows, "id", "text", "quality")
+    return stage(split.stratified(rows, "id", "quality"), "labelled")
+
+
+def _feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorize.feature_vectors(_labelled_rows(spark, sf_dir), "id", "text", "quality")
 
 
 def _scored(predictions: DataFrame, floor: float = FLOOR) -> DataFrame:
@@ -1362,6 +1366,21 @@ def logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(models.logistic(train)(test))
 
 
+#: How far the objective of a fitted table of coefficients may be above its minimum.
+GAP = 1e-4
+
+
+@query(f"WITH {_LABELLED_SPLIT} SELECT id, actual, true AS valid, {FLOOR}::DOUBLE AS at_least, {GAP}::DOUBLE AS gap_below FROM test")
+def logistic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logistic model without a vector as long as the vocabulary; its gradient shows how near the minimum is."""
+    rows = _labelled_rows(spark, sf_dir)
+    fitted = vectorize.fit_vocabulary(rows.where("train_test = 'train'"), "id", "text", NGRAM_RANGE)
+    entries = stage(vectorize.transform(rows, "id", "text", fitted), "entries")
+    train, test = split.parts(rows.select("id", F.col("quality").alias("label"), "train_test"))
+    model = descent.logistic_table(train, entries, tol=GAP)
+    return _scored(model.predict(test, entries)).withColumn("gap_below", F.lit(max(model.gap, GAP)))
+
+
 @query(_SCORED)
 def forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = split.parts(_feature_rows(spark, sf_dir))
