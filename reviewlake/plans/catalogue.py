@@ -17,6 +17,7 @@ from reviewlake.operators import (
     descent,
     draws,
     evaluate,
+    frontier,
     keyed,
     language,
     lemmas,
@@ -985,6 +986,62 @@ def loose_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("event_id", "json")
 
 
+_SHOP = """
+shop AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+numbered AS (SELECT doc_id, lines, unnest(range(1, (len(lines) + 9) // 10 + 1)) AS page FROM shop),
+reached AS (
+  SELECT 'https://shop.example/' || doc_id || '/' || CASE page WHEN 1 THEN '' ELSE 'reviews?page=' || page END AS url,
+         CAST(least(page - 1, 1) AS INTEGER) AS depth, page = 1 OR (doc_id + page) % 7 <> 0 AS stored,
+         md5(array_to_string(CASE page WHEN 1 THEN lines ELSE lines[page * 10 - 9:page * 10] END, chr(10))) AS text_hash
+  FROM numbered)
+"""
+
+
+def _shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as product pages (url, html) with all reviews on page 1 and ten on each further one; some are not stored."""
+    documents = texts(spark, sf_dir, "documents").where("text IS NOT NULL")
+    base = F.concat(F.lit("https://shop.example/"), "doc_id", F.lit("/"))
+    html = lambda content: F.concat(F.lit("<html>\n<script>load("), F.to_json(F.struct(content)), F.lit(");</script>\n</html>"))
+    first = product_docs(documents).select(base.alias("url"), html(F.col("products")).alias("html"))
+    lines = F.split("text", "\n")
+    page = F.explode(F.sequence(F.lit(2), F.greatest(F.ceil(F.size(lines) / 10), F.lit(2)).cast("int"))).alias("page")
+    further = documents.select("doc_id", lines.alias("lines"), page).where("page * 10 - 9 <= size(lines) AND (doc_id + page) % 7 <> 0")
+    part = F.array_join(F.slice("lines", F.col("page") * 10 - 9, F.lit(10)), "\n").alias("reviewText")
+    return first.unionByName(further.select(F.concat(base, F.lit("reviews?page="), "page").alias("url"), html(part).alias("html")))
+
+
+def _shop_reached(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    archive = _shop_pages(spark, sf_dir)
+    seeds = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    seeds = seeds.select(F.concat(F.lit("https://shop.example/"), "doc_id", F.lit("/#reviews")).alias("url"))
+    return archive, frontier.reach(seeds.select(tx.strip_fragment("url").alias("url")), archive)
+
+
+@query(f"WITH {_SHOP} SELECT url, depth, stored FROM reached")
+def page_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages that product pages lead to, also those that have yet to be fetched."""
+    return _shop_reached(spark, sf_dir)[1]
+
+
+@query(
+    f"""
+WITH {_SHOP}
+SELECT regexp_replace(url, '[^\\p{{L}}\\p{{N}}_.-]', '_', 'g') || '.json' AS name, text_hash FROM reached WHERE stored
+"""
+)
+def named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of stored pages, written under their names and read back."""
+    archive, reached = _shop_reached(spark, sf_dir)
+    good, _ = frontier.named_documents(reached, archive)
+    path = sinks.write_named(good, scratch_path(spark, "named"), "name", "json")
+    back = spark.read.schema("name string, value string").parquet(path)
+    schema = "products struct<reviewsById: map<string, struct<reviewText: string>>>, reviewText string"
+    parsed = pages.parse_products(back, "value", schema)
+    reviewed = F.transform(F.map_values("doc.products.reviewsById"), lambda r: r.getField("reviewText"))
+    text = F.coalesce(F.col("doc.reviewText"), F.array_join(reviewed, "\n"))
+    return parsed.select("name", F.md5(text.cast("binary")).alias("text_hash"))
+
+
 @query(
     """
 SELECT page_id, len(regexp_extract_all(html, '\\{.*"</p>".*\\}')) AS matches,
