@@ -33,8 +33,7 @@ from reviewlake.operators import (
 from reviewlake.operators.placement import scratch_path, stage
 from reviewlake.plans import medallion
 from reviewlake.plans.driver_tables import derived_lexicon, product_docs, reviews, table, texts
-from reviewlake.sources import documents as docs_io
-from reviewlake.sources import sinks
+from reviewlake.sources import batches, documents as docs_io, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1116,6 +1115,17 @@ def roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unwound.select("id", "brand_name", F.md5(F.col("text").cast("binary")).alias("text_hash"))
 
 
+@query("SELECT doc_id, source, md5(text) AS text_hash, true AS small FROM documents WHERE lang = 'en'")
+def batch_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written in batches of 30 and scanned again, with a filter that the source applies to lines."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    path = batches.write_batches(rows, scratch_path(spark, "batches"))
+    lines = batches.scan_batches(spark, path).where(F.contains("value", F.lit('"lang":"en"')))
+    parsed = lines.select("position", F.from_json("value", rows.schema).alias("doc"))
+    hashed = F.md5(F.col("doc.text").cast("binary")).alias("text_hash")
+    return parsed.select("doc.doc_id", "doc.source", hashed, (F.col("position") < sinks.DOCUMENT_BATCH).alias("small"))
+
+
 # ---------------------------------------------------------------- all stages
 
 
