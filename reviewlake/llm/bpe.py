@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 from reviewlake.llm.pretokens import ChunkIds, chunk_text
 from reviewlake.llm.texts import ship_package, slices, text_column
 
-#: Text of one corpus block.
-BLOCK_BYTES = 10 << 20
+#: Text of one corpus block. Its chunks, symbols and index take many times its size in a worker.
+BLOCK_BYTES = 2 << 20
 #: Chunks a worker remembers between blocks.
 REMEMBERED = 200_000
 NEVER = np.int32(2**31 - 1)

@@ -478,3 +478,17 @@ def test_written_shards(docs, rows, spark, tmp_path):
     sharding.write_shards(docs.drop("shard"), str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == len(rows) and back.select("shard").distinct().count() <= 4
+
+
+def test_a_block_of_the_encoder_is_small(monkeypatch):
+    met = []
+
+    class Table:
+        def encode_all(self, texts):
+            met.append(sum(len(t) for t in texts))
+            return []
+
+    monkeypatch.setattr(bpe, "corpus_encoder", lambda path, pattern: Table())
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(64)), "text": ["x" * (1 << 18)] * 64})
+    assert len(list(bpe.encoded(iter([batch]), "", ""))) == 8
+    assert sum(met) == 64 << 18 and max(met) <= 2 << 20
